@@ -1,0 +1,25 @@
+"""Narrowing a large table to a set of keys whose size is not known beforehand."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+SMALL = 1_000
+
+
+def only_likely(rows: DataFrame, keys: DataFrame, key: str, small: int = SMALL) -> DataFrame:
+    """Drop rows that cannot match ``keys`` if the key set turns out to be small.
+
+    At most ``small + 1`` keys are looked at, in a subquery that runs before
+    ``rows`` is scanned.  Few keys become an ``array_contains`` filter, so nearly
+    nothing is shuffled to the join that follows; with more keys every row passes
+    and the join does the whole work.  The result is a superset of the matches
+    either way.
+    """
+    few = keys.select(key).limit(small + 1).agg(F.collect_set(key).alias("ks")).scalar()
+    return (
+        rows.withColumn("_few", few)
+        .where((F.size("_few") > small) | F.array_contains("_few", F.col(key)))
+        .drop("_few")
+    )
