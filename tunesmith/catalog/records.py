@@ -29,7 +29,7 @@ from tunesmith.functions.text import revision_prompt
 from tunesmith.operators.inference import PROFILES
 from tunesmith.operators.position import with_position
 from tunesmith.plugins import LETTERS, letter_embedder
-from tunesmith.session import new_folder
+from tunesmith.session import new_folder, store
 from tunesmith.sources import (
     append_metrics,
     append_shards,
@@ -374,17 +374,19 @@ def revision_inputs(spark, sf):
     """Records, first replies and revisions, numbered by conversation."""
     turns = table(spark, sf, "conversations")
     placed = with_position(turns.select("conv_id").distinct(), "conv_id")
-    first = first_exchange(turns).join(placed, "conv_id")
-    records = first.select("pos", F.col("prompt").alias("x"), F.lit("be brief").alias("c"))
-    replies = first.select("pos", "completion")
     last = (
         turns.where("role = 'assistant'")
         .groupBy("conv_id")
-        .agg(F.max_by("text", "turn").alias("completion"))
-        .join(placed, "conv_id")
-        .select("pos", "completion")
+        .agg(F.max_by("text", "turn").alias("revision"))
+    )
+    rows = store(
+        placed.join(first_exchange(turns), "conv_id").join(last, "conv_id"), "revision-inputs"
+    )
+    return (
+        rows.select("pos", F.col("prompt").alias("x"), F.lit("be brief").alias("c")),
+        rows.select("pos", "completion"),
+        rows.select("pos", F.col("revision").alias("completion")),
     )
-    return records, replies, last
 
 
 REVISION_CTE = f"""

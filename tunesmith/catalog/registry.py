@@ -40,11 +40,10 @@ def joined(array: str, sep: str = ","):
 # --- shared SQL -------------------------------------------------------------------
 
 WORDS = r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}]"
-SPECIALS = (
-    r"<\|pad\|>|<\|im_start\|>|<\|im_end\|>|<\|vision_start\|>|<\|vision_end\|>"
-    r"|<\|image_pad\|>|<\|video_pad\|>"
+TOKENS = (
+    r"\p{L}+|\p{N}+|<\|pad\|>|<\|im_start\|>|<\|im_end\|>|<\|vision_start\|>"
+    r"|<\|vision_end\|>|<\|image_pad\|>|<\|video_pad\|>|[^\s\p{L}\p{N}]"
 )
-TOKENS = SPECIALS + "|" + WORDS
 
 
 def exchange_cte(source: str = "conversations") -> str:

@@ -42,6 +42,7 @@ from tunesmith.operators.tokens import (
     sft_examples,
     truncate_prompts,
 )
+from tunesmith.session import store
 
 ENTRIES: dict[str, Entry] = {}
 register = registrar(ENTRIES)
@@ -115,19 +116,22 @@ def tk3_tk4_masks_and_labels(spark, sf):
     return rows.select("conv_id", joined("mask").alias("mask"), joined("labels").alias("labels"))
 
 
-@register(
-    f"""WITH c AS (SELECT doc_id, len(regexp_extract_all(text, '{TOKENS}')) AS n FROM documents)
-        SELECT doc_id, least(n, 512) AS n_kept, n > 720 AS dropped FROM c"""
-)
-def tk5_fit_length(spark, sf):
-    rows = encode(_document_segments(spark, sf), vocabulary(spark, sf)).drop("generated")
-    rows = rows.withColumn("generated", F.col("ids"))
-    cut = fit_length(rows, V.REVISION_LENGTH, "truncate").select(
-        "doc_id", F.size("ids").cast("bigint").alias("n_kept")
+_COUNTS = f"SELECT doc_id, len(regexp_extract_all(text, '{TOKENS}')) AS n FROM documents"
+
+
+@register(f"SELECT doc_id, least(n, 512) AS n_tokens FROM ({_COUNTS})")
+def tk5_fit_length_truncate(spark, sf):
+    rows = encode(_document_segments(spark, sf), vocabulary(spark, sf))
+    return fit_length(rows, V.REVISION_LENGTH, "truncate").select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens")
     )
-    kept = fit_length(rows, V.SFT_LENGTH, "drop").select("doc_id", F.lit(False).alias("dropped"))
-    return cut.join(kept, "doc_id", "left").select(
-        "doc_id", "n_kept", F.coalesce("dropped", F.lit(True)).alias("dropped")
+
+
+@register(f"SELECT doc_id, n AS n_tokens FROM ({_COUNTS}) WHERE n <= 720")
+def tk5_fit_length_drop(spark, sf):
+    rows = encode(_document_segments(spark, sf), vocabulary(spark, sf))
+    return fit_length(rows, V.SFT_LENGTH, "drop").select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens")
     )
 
 
@@ -301,6 +305,7 @@ def tk12_curriculum_plan(spark, sf):
     docs = difficulty_buckets(
         table(spark, sf, "documents"), F.size(split_words(F.col("text"))), cuts=_CUTS
     ).select("doc_id", "difficulty")
+    docs = store(docs, "difficulty")  # read once per stage and pass
     data = {n: docs.where(F.col("difficulty") == n) for n, _ in V.STAGES}
     return curriculum_plan(data, "doc_id", 32, seed=7)
 

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from tunesmith.fixed_values import END, REVISION_PIECES, SPECIALS
 
 # a run of letters, a run of digits, or one other visible character
-WORD_PATTERN = r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}]"
+_RUNS, _OTHER = r"\p{L}+|\p{N}+", r"[^\s\p{L}\p{N}]"
+WORD_PATTERN = f"{_RUNS}|{_OTHER}"
 
 
 def _quoted(token: str) -> str:
@@ -17,7 +18,7 @@ def _quoted(token: str) -> str:
 
 # Special tokens count as one token wherever they occur in a text.
 SPECIAL_PATTERN = "|".join(_quoted(t) for t in SPECIALS)
-TOKEN_PATTERN = SPECIAL_PATTERN + "|" + WORD_PATTERN
+TOKEN_PATTERN = f"{_RUNS}|{SPECIAL_PATTERN}|{_OTHER}"
 # the same split, but every token keeps the white space in front of it
 SPACED_PATTERN = r"\s*(?:" + TOKEN_PATTERN + ")"
 

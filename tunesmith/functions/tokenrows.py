@@ -12,24 +12,21 @@ def ints(array: Column) -> Column:
     return array.cast("array<int>")
 
 
-def last_index_of(ids: Column, token_id: int) -> Column:
-    """0-based index of the last ``token_id``, null if there is none."""
-    positions = F.transform(ids, lambda t, i: F.when(t == token_id, i))
-    return F.array_max(positions)
-
-
 def mask_with_end(ids: Column, generated: Column, end_id: int = END_ID) -> Column:
     """The generated-mask with the last end token switched on as well.
 
     After truncation the last end token may close a user or system turn; that is
     kept.  A row without any end token keeps its mask unchanged.
     """
-    last = F.coalesce(last_index_of(ids, end_id), F.lit(-1))
-    return ints(
-        F.transform(
-            generated, lambda g, i: F.when((g == 1) | (i == last), 1).otherwise(0)
-        )
+    from_back = F.array_position(F.reverse(ids), end_id).cast("int")  # 1-based, 0 = none
+    before = F.size(ids) - from_back
+    # spliced, not transformed: inside a lambda the search would run per element
+    spliced = F.concat(
+        F.slice(generated, 1, before),
+        F.array(F.lit(1)),
+        F.slice(generated, before + 2, F.size(ids)),
     )
+    return F.when(from_back > 0, spliced).otherwise(generated)
 
 
 def labels_from_mask(ids: Column, mask: Column) -> Column:

@@ -92,24 +92,30 @@ def assign_nearest(
             F.struct(F.col("ord").cast("int").alias("ord"), "category", "vec", norm(F.col("vec")).alias("len"))
         ).alias("means")
     ).scalar()
-    rows = df.withColumn("_len", norm(F.col(vector))).withColumn("_means", table)
+    # the row's own length is the same for every mean: divided by once, at the end
     best = F.array_max(
         F.transform(
             "_means",
             lambda m: F.struct(
-                F.coalesce(
-                    F.try_divide(dot(F.col(vector), m["vec"]), F.col("_len") * m["len"]),
-                    F.lit(0.0),
-                ).alias("similarity"),
+                F.coalesce(F.try_divide(dot(F.col(vector), m["vec"]), m["len"]), F.lit(0.0)).alias(
+                    "projection"
+                ),
                 (-m["ord"]).alias("rank"),
                 m["category"].alias("category"),
             ),
         )
     )
-    return rows.select(*cols, best.alias("_best")).select(
-        *cols,
-        F.col("_best.category").alias("category"),
-        F.col("_best.similarity").alias("similarity"),
+    length = norm(F.col(vector))
+    return (
+        df.withColumn("_means", table)
+        .select(*cols, best.alias("_best"))
+        .select(
+            *cols,
+            F.col("_best.category").alias("category"),
+            F.coalesce(F.try_divide(F.col("_best.projection"), length), F.lit(0.0)).alias(
+                "similarity"
+            ),
+        )
     )
 
 

@@ -13,6 +13,7 @@ bucket borders.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -23,9 +24,10 @@ from pyspark.sql import functions as F
 from tunesmith.functions.text import order_hash
 
 HASH_DIGITS = 4  # 65,536 buckets for shuffled orders
-BUCKETS = 2048  # quantile buckets for numeric orders
-TIE_BUCKETS = 256  # quantile buckets of the key inside one repeated value
-_ACCURACY = 20_000
+BUCKET_ROWS = 250_000  # rows that one task may sort
+MAX_BUCKETS = 16_384
+TIE_BUCKETS = 256  # buckets of the key inside one repeated value
+_ACCURACY = 100_000
 
 
 def _number_within(
@@ -56,8 +58,12 @@ def _borders(df: DataFrame, column: str, buckets: int) -> list:
     Fetched rather than left inside the plan because both passes must cut at the
     same values, and merged quantile sketches are not exactly repeatable.
     """
-    steps = [i / buckets for i in range(1, buckets)]
-    row = df.agg(F.percentile_approx(column, steps, _ACCURACY).alias("q")).first()
+    if buckets < 2:
+        return [0]
+    steps = "array(" + ", ".join(f"{i / buckets!r}D" for i in range(1, buckets)) + ")"
+    row = df.select(
+        F.expr(f"percentile_approx(`{column}`, {steps}, {_ACCURACY})").alias("q")
+    ).first()
     return sorted(row["q"] or [0])
 
 
@@ -79,7 +85,7 @@ def with_position(
     order: str | None = None,
     by: Sequence[str] = (),
     pos: str = "pos",
-    buckets: int = BUCKETS,
+    bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """Add dense 0-based positions in the order ``(order, key)``.
 
@@ -87,7 +93,10 @@ def with_position(
     column that may hold repeated values, ``by`` restarts the numbering per group.
     A value of ``order`` that repeats often enough to be a bucket border is split
     further by ``key``, so even one value on a third of all rows stays spread out.
+
+    The number of buckets follows from the row count, which is taken first.
     """
+    buckets = min(MAX_BUCKETS, -(-df.select(key).count() // bucket_rows))
     if order is None or order == key:
         cut = _bucketize(df, key, _borders(df, key, buckets), "_b")
         return _number_within(cut, F.col("_b"), [key], by, pos).drop("_b")
@@ -102,7 +111,9 @@ def with_position(
     if repeated:
         df = _bucketize(df, key, _borders(df, key, TIE_BUCKETS), "_tie")
         # the last border at or below the row's value
-        cuts = F.array(*[F.lit(b) for b in sorted({float(b): b for b in raw}.values())])
+        values = json.dumps(sorted({float(b): b for b in raw}.values()))
+        kind = df.schema["_rank"].dataType.simpleString()
+        cuts = F.from_json(F.lit(values), f"array<{kind}>")
         border = F.try_element_at(cuts, F.col("_b"))
         sub = (
             F.when(F.col("_b") <= 0, 0)

@@ -66,23 +66,24 @@ def _lookup_table(vocab: DataFrame) -> Column:
     Maps are searched from front to back; with a few words per slot that is cheap.
     """
     spark = vocab.sparkSession
-    words = vocab.select("tok", "id").groupBy(_slot(F.col("tok")).cast("bigint").alias("id_")).agg(
-        F.map_from_entries(F.collect_list(F.struct("tok", "id"))).alias("words")
+    specials = spark.createDataFrame(list(SPECIAL_IDS.items()), "tok STRING, id INT")
+    words = vocab.select("tok", "id").unionByName(specials)
+    filled = words.groupBy(_slot(F.col("tok")).cast("bigint").alias("slot")).agg(
+        F.collect_list(F.struct("tok", "id")).alias("words")
     )
     return (
         spark.range(SLOTS)
-        .join(words, F.col("id") == F.col("id_"), "left")
-        .agg(F.array_sort(F.collect_list(F.struct("id", F.map_entries("words").alias("w")))).alias("s"))
-        .select(F.transform("s.w", lambda w: F.map_from_entries(w)).alias("slots"))
+        .join(filled, F.col("id") == F.col("slot"), "left")
+        .agg(F.array_sort(F.collect_list(F.struct("id", "words"))).alias("s"))
+        .select(F.transform("s.words", lambda w: F.map_from_entries(w)).alias("slots"))
         .scalar()
     )
 
 
 def _word_id(tok: Column, slots: Column) -> Column:
-    known = F.try_element_at(F.element_at(slots, _slot(tok) + 1), tok)
-    for spelling, number in SPECIAL_IDS.items():
-        known = F.when(tok == spelling, number).otherwise(known)
-    return F.coalesce(known, F.lit(UNKNOWN_ID))
+    return F.coalesce(
+        F.try_element_at(F.element_at(slots, _slot(tok) + 1), tok), F.lit(UNKNOWN_ID)
+    )
 
 
 def encode(
@@ -95,22 +96,23 @@ def encode(
     is encoded where it lies: no token rows, no join, no shuffle.
     """
     cols = [c for c in df.columns if not (drop_segments and c == segments)]
-    pairs = F.flatten(
-        F.transform(
-            segments,
-            lambda s: F.transform(
-                split_tokens(F.coalesce(s["text"], F.lit(""))),
-                lambda t: F.struct(
-                    _word_id(t, F.col("_slots")).alias("id"),
-                    s["generated"].cast("int").alias("g"),
-                ),
-            ),
-        )
+    per_segment = F.transform(
+        segments,
+        lambda s: F.transform(
+            split_tokens(F.coalesce(s["text"], F.lit(""))), lambda t: _word_id(t, F.col("_slots"))
+        ),
+    )
+    flags = F.zip_with(
+        "_nested", "_flags", lambda ids, g: F.array_repeat(g.cast("int"), F.size(ids))
     )
+    # Every column is used once above the line that adds the vocabulary.  Only then
+    # do the projections merge and the value stays a reference inside the lambda;
+    # otherwise it would be copied into each row.
     return (
-        df.withColumn("_slots", _lookup_table(vocab))
-        .select(*cols, pairs.alias("_pairs"))
-        .select(*cols, F.col("_pairs.id").alias("ids"), F.col("_pairs.g").alias("generated"))
+        df.select(*df.columns, F.col(f"{segments}.generated").alias("_flags"))
+        .withColumn("_slots", _lookup_table(vocab))
+        .select(*cols, per_segment.alias("_nested"), "_flags")
+        .select(*cols, F.flatten("_nested").alias("ids"), F.flatten(flags).alias("generated"))
     )
 
 
@@ -138,7 +140,10 @@ def fit_length(df: DataFrame, length: int, overflow: str) -> DataFrame:
     ``overflow='truncate'`` cuts long rows, ``'drop'`` leaves them out.
     """
     if overflow == "drop":
-        return df.where(F.size("ids") <= length)
+        # A plain filter would be pushed below the encoder and encode every row a
+        # second time; it does not pass a projection with a per-row id.
+        once = df.withColumn("_row", F.monotonically_increasing_id())
+        return once.where((F.size("ids") <= length) & (F.col("_row") >= 0)).drop("_row")
     if overflow != "truncate":
         raise ValueError(f"overflow: {overflow}")
     return df.withColumn("ids", F.slice("ids", 1, length)).withColumn(
