@@ -49,12 +49,13 @@ register = registrar(ENTRIES)
 
 
 def vocabulary(spark, sf):
-    return build_vocab(table(spark, sf, "documents"), VOCAB_SIZE)
+    """Counted once and stored, as a training run keeps it."""
+    return store(build_vocab(table(spark, sf, "documents"), VOCAB_SIZE), "vocabulary")
 
 
 @register(f"WITH {vocab_cte()} SELECT tok, n, id::INT AS id FROM vocab")
 def tk1_build_vocab(spark, sf):
-    return vocabulary(spark, sf)
+    return build_vocab(table(spark, sf, "documents"), VOCAB_SIZE)
 
 
 def _encoded_exchanges(spark, sf):

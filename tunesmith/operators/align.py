@@ -45,7 +45,8 @@ def rejoin_responses(prompts: DataFrame, replies: DataFrame, pos: str = "pos") -
 def missing_responses(prompts: DataFrame, replies: DataFrame, pos: str = "pos") -> DataFrame:
     """Prompts that got no reply."""
     wanted = prompts.withColumn("custom_id", request_id(pos))
-    return wanted.join(replies.select("custom_id"), "custom_id", "left_anti")
+    # one row per id, so that a much repeated id does not weigh on one task
+    return wanted.join(replies.select("custom_id").distinct(), "custom_id", "left_anti")
 
 
 def request_id(pos: str = "pos"):
@@ -57,7 +58,7 @@ CACHE_KEY = ("prompt_id", "model_id", "decode_hash")
 
 def missing_completions(prompts: DataFrame, cache: DataFrame) -> DataFrame:
     """Prompts that the completion cache does not hold for this model and setting."""
-    return prompts.join(cache.select(*CACHE_KEY), list(CACHE_KEY), "left_anti")
+    return prompts.join(cache.select(*CACHE_KEY).distinct(), list(CACHE_KEY), "left_anti")
 
 
 def fill_completions(prompts: DataFrame, cache: DataFrame, fresh: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tunesmith.exemplars import EXEMPLARS
 from tunesmith.fixed_values import CRITERIA, STAGE_MAX_SAMPLES
 from tunesmith.functions.text import revision_prompt, split_words
 from tunesmith.functions.vectors import dot, norm
@@ -26,6 +27,12 @@ def default_criteria(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "ord INT, category STRING, criterion STRING")
 
 
+def default_exemplars(spark: SparkSession) -> DataFrame:
+    """The built-in example prompts as ``(ord, category, example)``."""
+    rows = [(i, name, text) for i, (name, texts) in enumerate(EXEMPLARS) for text in texts]
+    return spark.createDataFrame(rows, "ord INT, category STRING, example STRING")
+
+
 def embed(
     df: DataFrame,
     loader: Callable[[], Embedder],

@@ -15,7 +15,14 @@ from tunesmith import fixed_values as V
 from tunesmith.functions.text import clean_completion
 from tunesmith.operators.align import fill_completions, missing_completions
 from tunesmith.operators.batches import epoch_plan
-from tunesmith.operators.criteria import centroids, criteria_dataset, embed, revision_dataset
+from tunesmith.operators.criteria import (
+    centroids,
+    criteria_dataset,
+    default_criteria,
+    default_exemplars,
+    embed,
+    revision_dataset,
+)
 from tunesmith.operators.inference import DecodeProfile, complete, initial_responses
 from tunesmith.operators.position import range_split, seeded_prompts, with_position
 from tunesmith.operators.scoring import evaluate
@@ -27,14 +34,21 @@ from tunesmith.sources.writers import write_records
 
 def prepare_criteria(
     prompts: DataFrame,
-    exemplars: DataFrame,
-    criteria: DataFrame,
     loader: Callable,
     out: str,
+    exemplars: DataFrame | None = None,
+    criteria: DataFrame | None = None,
 ) -> None:
-    """``(pos, prompt)`` + ``(ord, category, example)`` -> stored ``(pos, x, y, c)``."""
+    """``(pos, prompt)`` -> stored ``(pos, x, y, c)``.
+
+    ``exemplars`` is ``(ord, category, example)``; both tables default to the
+    built-in categories.
+    """
+    spark = prompts.sparkSession
+    exemplars = default_exemplars(spark) if exemplars is None else exemplars
+    criteria = default_criteria(spark) if criteria is None else criteria
     vectors = store(embed(prompts, loader, text="prompt"), "prompt-vectors")
-    means = centroids(embed(exemplars, loader, text="example"))
+    means = centroids(store(embed(exemplars, loader, text="example"), "example-vectors"))
     write_records(criteria_dataset(vectors, means, criteria), out)
 
 
@@ -63,7 +77,8 @@ def revision_stage(
 ) -> tuple[str, str]:
     """One stage of revision training: token rows and the order to read them in.
 
-    Returns the paths of the two tables (``examples``, ``plan``).
+    Returns the paths of the two tables (``examples``, ``plan``); ``example`` in the
+    plan is ``pos`` of the examples.
     """
     pairs = revision_dataset(
         read_records(spark, records, max_samples),
@@ -73,8 +88,8 @@ def revision_stage(
     )
     examples, plan = f"{out}/examples", f"{out}/plan"
     revision_examples(pairs, vocab).write.parquet(examples)
-    rows = spark.read.parquet(examples)
-    epoch_plan(rows, "pos", epochs, batch_size, seed).write.partitionBy("epoch").parquet(plan)
+    ids = spark.read.parquet(examples).select(F.col("pos").alias("example"))
+    epoch_plan(ids, "example", epochs, batch_size, seed).write.partitionBy("epoch").parquet(plan)
     return examples, plan
 
 

@@ -38,9 +38,10 @@ def read_json_arrays(spark: SparkSession, path: str | list[str]) -> DataFrame:
         "file",
         (F.sum("n").over(W.orderBy("file")) - F.col("n")).alias("first"),
     )
+    # joined while a file is still one row
     return (
-        files.select("file", F.posexplode("items").alias("i", "value"))
-        .join(offsets, "file")
+        files.join(offsets, "file")
+        .select("first", F.posexplode("items").alias("i", "value"))
         .select((F.col("first") + F.col("i")).alias("pos"), "value")
     )
 
