@@ -12,12 +12,9 @@ _RUNS, _OTHER = r"\p{L}+|\p{N}+", r"[^\s\p{L}\p{N}]"
 WORD_PATTERN = f"{_RUNS}|{_OTHER}"
 
 
-def _quoted(token: str) -> str:
-    return token.replace("|", r"\|")
-
-
-# Special tokens count as one token wherever they occur in a text.
-SPECIAL_PATTERN = "|".join(_quoted(t) for t in SPECIALS)
+# Special tokens count as one token wherever they occur in a text.  All of them have
+# the form <|name|>, so one literal prefix rules out nearly every position.
+SPECIAL_PATTERN = r"<\|(?:" + "|".join(t[2:-2] for t in SPECIALS) + r")\|>"
 TOKEN_PATTERN = f"{_RUNS}|{SPECIAL_PATTERN}|{_OTHER}"
 # the same split, but every token keeps the white space in front of it
 SPACED_PATTERN = r"\s*(?:" + TOKEN_PATTERN + ")"
@@ -39,9 +36,14 @@ def order_hash(seed: int | str, *keys: Column) -> Column:
 def truncate_to_tokens(text: Column, limit: int) -> Column:
     """``text`` if it has at most ``limit`` tokens, else its first ``limit``."""
     pieces = F.regexp_extract_all(text, F.lit(SPACED_PATTERN), 0)
-    return F.when(F.size(pieces) <= limit, text).otherwise(
-        F.array_join(F.slice(pieces, 1, limit), "")
+    # a one-element array binds the split, so that it runs once per row
+    cut = F.transform(
+        F.array(pieces),
+        lambda p: F.when(F.size(p) <= limit, text).otherwise(
+            F.array_join(F.slice(p, 1, limit), "")
+        ),
     )
+    return cut[0]
 
 
 def clean_completion(text: Column, stop: str = END) -> Column:
