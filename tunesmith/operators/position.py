@@ -31,7 +31,12 @@ _ACCURACY = 100_000
 
 
 def _number_within(
-    df: DataFrame, bucket: Column, sort: Sequence[str], by: Sequence[str], pos: str
+    df: DataFrame,
+    bucket: Column,
+    sort: Sequence[str],
+    by: Sequence[str],
+    pos: str,
+    few: bool = True,
 ) -> DataFrame:
     by = list(by)
     rows = df.withColumn("_bucket", bucket)
@@ -41,8 +46,8 @@ def _number_within(
     starts = sizes.select(
         *by, "_bucket", (F.sum("_n").over(start) - F.col("_n")).alias("_first")
     )
-    if not by:
-        # row count bounded by the number of buckets
+    if few and not by:
+        # at most one row per bucket: 65,536
         starts = F.broadcast(starts)
     inside = W.partitionBy(*by, "_bucket").orderBy(*sort)
     return (
@@ -122,7 +127,7 @@ def with_position(
             .otherwise(TIE_BUCKETS + 1)
         )
     bucket = F.col("_b") * (2 * TIE_BUCKETS) + sub
-    out = _number_within(df, bucket, ["_rank", key], by, pos)
+    out = _number_within(df, bucket, ["_rank", key], by, pos, few=not repeated)
     return out.drop("_rank", "_b", "_tie")
 
 
