@@ -30,10 +30,12 @@ from tunesmith.llm.wordcodes import LETTERS_DIGITS, LOWER, SLICE, mix, utf8_part
 BUCKETS = 1 << 17
 DIM = 8
 PER_CLASS = 2500
-EPOCHS = 12
+EPOCHS = 15
 BATCH = 64
-RATE = 0.05
-DECAY = 1e-6
+#: Steps of the embeddings (plain descent: an n-gram moves with its share of a text) and
+#: of the softmax.
+RATE = 1000.0
+SOFT_RATE = 0.05
 SIZES = (3, 4, 5, 6)
 SEED = 11
 
@@ -64,10 +66,9 @@ def bag(data: np.ndarray, start: int, end: int) -> np.ndarray:
 def fit(texts: list[str], labels: list[int]) -> tuple[np.ndarray, float]:
     """One weight per hashed row and a bias, from the jointly trained layers."""
     y = np.array(labels, dtype=np.int64)
-    weights = np.zeros(BUCKETS, np.float32)
     if len(set(labels)) < 2:
         share = min(max(float(y.mean()) if len(y) else 0.0, 1e-6), 1 - 1e-6)
-        return weights, float(np.log(share / (1 - share)))
+        return np.zeros(BUCKETS, np.float32), float(np.log(share / (1 - share)))
     rows, counts = [], []
     for text in texts:
         raw = np.frombuffer(text.encode(), dtype=np.uint8)
@@ -75,44 +76,33 @@ def fit(texts: list[str], labels: list[int]) -> tuple[np.ndarray, float]:
         rows.append(ids)
         counts.append((n / max(1, n.sum())).astype(np.float32))
     rng = np.random.Generator(np.random.PCG64(SEED))
-    embed = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM)).astype(np.float32)
-    soft = rng.normal(0, 0.1, (DIM, 2)).astype(np.float32)
+    embed = rng.uniform(-0.1 / DIM, 0.1 / DIM, (BUCKETS, DIM)).astype(np.float32)
+    soft = rng.normal(0, 0.3, (DIM, 2)).astype(np.float32)
     bias = np.zeros(2, np.float32)
-    size = np.zeros(BUCKETS, np.float32)  # squared gradients so far (Adagrad)
-    size_soft, size_bias = np.full((DIM, 2), 1e-8, np.float32), np.full(2, 1e-8, np.float32)
+    past = np.full((DIM, 2), 1e-8, np.float32)  # squared gradients of the softmax so far
     share = np.bincount(y, minlength=2) / len(y)
-    for _ in range(EPOCHS):
+    for epoch in range(EPOCHS):
+        rate = RATE * (1 - epoch / EPOCHS)
         order = rng.permutation(len(y))
         for a in range(0, len(order), BATCH):
             some = order[a : a + BATCH]
             ids = np.concatenate([rows[i] for i in some])
-            part = np.concatenate([counts[i] for i in some])[:, None]
-            edges = np.concatenate(([0], np.cumsum([len(rows[i]) for i in some])))
-            who = np.repeat(np.arange(len(some)), np.diff(edges))
-            hidden = np.zeros((len(some), DIM), np.float32)
-            for d in range(DIM):
-                hidden[:, d] = np.bincount(who, embed[ids, d] * part[:, 0], minlength=len(some))
+            part = np.concatenate([counts[i] for i in some])
+            who = np.repeat(np.arange(len(some)), [len(rows[i]) for i in some])
+            hidden = np.stack([np.bincount(who, embed[ids, d] * part, minlength=len(some)) for d in range(DIM)], axis=1)
             logits = hidden @ soft + bias
-            logits -= logits.max(axis=1, keepdims=True)
-            p = np.exp(logits)
+            p = np.exp(logits - logits.max(axis=1, keepdims=True))
             p /= p.sum(axis=1, keepdims=True)
             p[np.arange(len(some)), y[some]] -= 1
-            p /= (2 * share[y[some]])[:, None]  # classes count alike
-            back = (p @ soft.T).astype(np.float32)
-            g_soft, g_bias = hidden.T @ p, p.sum(axis=0)
-            size_soft += g_soft**2
-            size_bias += g_bias**2
-            soft -= RATE * g_soft / np.sqrt(size_soft)
-            bias -= RATE * g_bias / np.sqrt(size_bias)
-            uniq, at = np.unique(ids, return_inverse=True)
-            step = np.empty((len(uniq), DIM), np.float32)
+            p /= (2 * share[y[some]])[:, None] * np.sqrt(len(some))  # classes count alike
+            back = p @ soft.T
+            down = hidden.T @ p
+            past += down**2
+            soft -= SOFT_RATE * down / np.sqrt(past)
+            bias -= SOFT_RATE * p.sum(axis=0)
             for d in range(DIM):
-                step[:, d] = np.bincount(at, back[who, d] * part[:, 0], minlength=len(uniq))
-            size[uniq] += (step**2).mean(axis=1)
-            embed[uniq] -= RATE * step / np.sqrt(size[uniq] + 1e-12)[:, None]
-    weights = (embed @ (soft[:, 1] - soft[:, 0])).astype(np.float32)
-    prior = float(np.log(share[1] / share[0]))
-    return weights, float(bias[1] - bias[0]) + 0.5 * prior
+                np.subtract.at(embed[:, d], ids, (rate * back[who, d] * part).astype(np.float32))
+    return (embed @ (soft[:, 1] - soft[:, 0])).astype(np.float32), float(bias[1] - bias[0])
 
 
 def probabilities(weights: np.ndarray, bias: float, column: pa.Array) -> np.ndarray:
