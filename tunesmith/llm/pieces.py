@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,7 @@ from tunesmith.llm.common import add_columns, prepare
 
 MARK = "▁"
 #: Words that a worker remembers between batches.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 
 
 @dataclass
@@ -75,10 +76,13 @@ class Encoder:
     def __init__(self, model: Model):
         self.model = model
         self.ids = {p: i for i, p in enumerate(model.pieces) if i not in model.special}
-        self.longest = max(map(len, self.ids), default=1)
+        #: every ending of a piece (tells how far back pieces that end at a place may start),
+        #: with whether it is a piece; for merges: one that merging its characters gives
+        self.endings: dict[str, bool] = dict.fromkeys((p[i:] for p in self.ids for i in range(len(p))), False)
+        for p in self.ids:
+            self.endings[p] = model.kind != "bpe" or len(self._merge(p)) == 1
         self.known: dict[str, list[int]] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.whole: dict[str, bool] = {}
         barrier = "" if "\n" in self.ids or any("\n" in p for p in self.ids) else "\n"
         self.words = re.compile(rf"{MARK}*[^{MARK}{barrier}]+|{MARK}+|{barrier}" if barrier else rf"{MARK}*[^{MARK}]+|{MARK}+")
         least = min((model.scores[i] for i in self.ids.values()), default=0.0)
@@ -89,7 +93,6 @@ class Encoder:
         for i in model.special - set(model.bytes_):
             self.out[i] = b""
         self.out[model.unknown] = " ⁇ ".encode()
-        self.out = np.array(self.out, dtype=object)
 
     def marked(self, text: str) -> str:
         return (MARK if self.model.dummy_prefix and text else "") + text.replace(" ", MARK)
@@ -98,9 +101,9 @@ class Encoder:
 
     def learn(self, words: list[str]) -> None:
         """Ids of words not known yet."""
-        step = self._merged_step if self.model.kind == "bpe" else self._scored_step
+        extend = self._extend_merged if self.model.kind == "bpe" else self._extend_scored
         before = ""
-        table: list[tuple] = [(0.0, 0, "")]  # per prefix: score, its start, last piece
+        table: list[tuple] = [(0.0, 0, "")]  # per prefix: score, start and text of its last piece
         for word in sorted(words):
             same = 0
             for a, b in zip(before, word):
@@ -108,41 +111,40 @@ class Encoder:
                     break
                 same += 1
             del table[same + 1 :]
-            for end in range(same + 1, len(word) + 1):
-                table.append(step(word, end, table))
+            extend(word, table)
             self.known[word] = self._ids(word, table)
             before = word
 
-    def _scored_step(self, word: str, end: int, table: list) -> tuple:
-        best = (table[end - 1][0] + self.missing, end - 1, word[end - 1])
-        for start in range(max(0, end - self.longest), end):
-            piece = word[start:end]
-            i = self.ids.get(piece)
-            if i is not None:
-                score = table[start][0] + self.model.scores[i]
-                if score > best[0]:
-                    best = (score, start, piece)
-        return best
-
-    def _merged_step(self, word: str, end: int, table: list) -> tuple:
-        for start in range(max(0, end - self.longest), end - 1):
-            piece = word[start:end]
-            if piece in self.ids and self._stands(piece) and (not start or self._next_to(table[start][2], piece)):
-                return (0.0, start, piece)
-        return (0.0, end - 1, word[end - 1])
-
-    def _stands(self, piece: str) -> bool:
-        """Whether merging the characters of a piece gives that piece."""
-        ok = self.whole.get(piece)
-        if ok is None:
-            ok = self.whole[piece] = len(self._merge(piece)) == 1
-        return ok
+    def _extend_scored(self, word: str, table: list) -> None:
+        for end in range(len(table), len(word) + 1):
+            best = (table[end - 1][0] + self.missing, end - 1, word[end - 1])
+            start = end - 1
+            while start >= 0 and (whole := self.endings.get(piece := word[start:end])) is not None:
+                if whole:
+                    score = table[start][0] + self.model.scores[self.ids[piece]]
+                    if score > best[0]:
+                        best = (score, start, piece)
+                start -= 1
+            table.append(best)
+
+    def _extend_merged(self, word: str, table: list) -> None:
+        endings, pairs = self.endings, self.pairs
+        for end in range(len(table), len(word) + 1):
+            found = (0.0, end - 1, word[end - 1])
+            start = end - 2
+            while start >= 0 and (whole := endings.get(piece := word[start:end])) is not None:
+                if whole:
+                    left = table[start][2]
+                    ok = pairs.get((left, piece)) if start else True
+                    if self._next_to(left, piece) if ok is None else ok:
+                        found = (0.0, start, piece)
+                        break  # no other piece stands here
+                start -= 1
+            table.append(found)
 
     def _next_to(self, left: str, right: str) -> bool:
         """Whether merging leaves two pieces as they are when they stand side by side."""
-        ok = self.pairs.get((left, right))
-        if ok is None:
-            ok = self.pairs[left, right] = self._merge(left + right) == [left, right]
+        ok = self.pairs[left, right] = self._merge(left + right) == [left, right]
         return ok
 
     def _merge(self, text: str) -> list[str]:
@@ -180,24 +182,14 @@ class Encoder:
         split = [self.words.findall(self.marked(t)) if t is not None else None for t in texts]
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        if len(self.pairs) > 2 * REMEMBERED:
+        if len(self.pairs) > REMEMBERED:
             self.pairs.clear()
-        new = {w for words in split if words for w in words} - self.known.keys()
-        self.learn(list(new))
-        known = self.known
-        out: list[list[int] | None] = []
-        for words in split:
-            ids: list[int] | None = None
-            if words is not None:
-                ids = []
-                for w in words:
-                    ids += known[w]
-            out.append(ids)
-        return out
+        self.learn(list(set().union(*filter(None, split)) - self.known.keys()))
+        look = self.known.__getitem__
+        return [None if words is None else list(chain.from_iterable(map(look, words))) for words in split]
 
     def decode(self, ids) -> str:
-        raw = b"".join(self.out[np.asarray(ids, dtype=np.int64)].tolist()) if len(ids) else b""
-        text = raw.decode("utf-8", "replace")
+        text = b"".join(map(self.out.__getitem__, ids)).decode("utf-8", "replace")
         return text[1:] if self.model.dummy_prefix and text.startswith(" ") else text
 
 
@@ -212,7 +204,7 @@ def encoded(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             texts = column.to_pylist()
             ids = encoder.encode(texts)
             ok = [i is not None and encoder.decode(i) == t for i, t in zip(ids, texts)]
-            flat = np.fromiter((x for i in ids if i for x in i), dtype=np.int32)
+            flat = np.fromiter(chain.from_iterable(filter(None, ids)), dtype=np.int32)
             ends = np.zeros(len(ids) + 1, np.int32)
             np.cumsum([len(i or ()) for i in ids], out=ends[1:])
             valid = pa.array([i is None for i in ids])
