@@ -169,7 +169,8 @@ def _forest(a: np.ndarray, b: np.ndarray) -> tuple[list, list]:
 
 def link_counts(items: DataFrame, classes: DataFrame, threshold: float, block: int) -> DataFrame:
     """``node``, ``links``: vectors of the class that are linked directly, copies counted."""
-    members = items.join(classes, "node").withColumn("members", F.expr("count(1) OVER (PARTITION BY root)"))
+    sizes = classes.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
+    members = items.join(classes.join(sizes, "root"), "node")
     pairs = block_pairs(members, "root", "members", "node", block, own_pairs=True)
     rows = pairs.select("root", "bi", "bj", "node", "own", "copies", "v")
     rows = rows.repartition("root", "bi", "bj").sortWithinPartitions("root", "bi", "bj", "node")
