@@ -9,7 +9,7 @@ A sentence ends with its full stop, exclamation or question mark or line break a
 the white space behind it, so the sentences of a text joined are the text.  The run of a
 sentence is the fewest sentences from there on that hold ``LEAST_WORDS`` words, but at
 least ``SPAN``; a single sentence of ``LONG_WORDS`` words is a run, too.  Runs are equal
-if their words are.
+if their words are, A-Z in lower case.
 
 Only hashes and keys are shuffled for the search; its aggregate combines before the
 shuffle, its join has the runs that occur in several documents on one side, and Spark
