@@ -33,7 +33,6 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tunesmith.llm.common import add_columns, prepare
 
