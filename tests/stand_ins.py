@@ -1,10 +1,16 @@
-"""Small deterministic stand-ins for models, for tests and as plug-in examples."""
+"""Small deterministic stand-ins for models, for tests."""
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import cloudpickle
+
 from tunesmith.operators.inference import DecodeProfile, Generator
 from tunesmith.operators.scoring import Scorer
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 

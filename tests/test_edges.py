@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tunesmith.functions.text import clean_completion, last_number, revision_prompt
 from tunesmith.functions.tokenrows import labels_from_mask, mask_with_end
-from tunesmith.operators.align import unmatched, zip_join
+from tunesmith.operators.align import attach_criteria, rejoin_responses, unmatched, zip_join
 from tunesmith.operators.batches import curriculum_plan, epoch_plan, make_batches, stages
 from tunesmith.operators.chat import (
     extract_prompts,
@@ -17,6 +17,7 @@ from tunesmith.operators.chat import (
     first_user_prompt,
     nest_messages,
     render_chat,
+    render_each_turn,
     render_turns,
     to_exchange,
     unnest_messages,
@@ -110,13 +111,19 @@ def test_first_user_prompt(spark):
     assert len(rows(first_user_prompt(conversation(spark, CASES), keep_missing=False))) == 6
 
 
-def test_nest_splits_long_conversations(spark):
-    turns = conversation(spark, {1: [("user", str(i)) for i in range(5)]})
-    nested = nest_messages(turns, part_turns=2)
-    assert [(r.part, len(r.messages)) for r in nested.orderBy("part").collect()] == [
-        (0, 2), (1, 2), (2, 1)
-    ]
-    assert rows(unnest_messages(nested, 2)) == rows(turns)
+def test_nesting_keeps_turn_numbers(spark):
+    data = [(1, t, "user" if t % 2 else "assistant", str(t)) for t in (0, 5, 4095, 4096, 10_000)]
+    data += [(2, t, "user", str(t)) for t in range(10_000)]
+    turns = spark.createDataFrame(data, "conv_id BIGINT, turn BIGINT, role STRING, text STRING")
+    nested = nest_messages(turns)
+    assert {r.conv_id: r.n for r in nested.select("conv_id", F.size("messages").alias("n")).collect()} == {1: 5, 2: 10_000}
+    assert rows(unnest_messages(nested)) == rows(turns)
+    assert dict(rows(extract_prompts(nested).select("conv_id", "prompt"))) == {1: "0", 2: "0"}
+    texts = {}
+    for r in render_each_turn(turns).orderBy("conv_id", "turn").collect():
+        texts[r.conv_id] = texts.get(r.conv_id, "") + r.text
+    assert texts == {r.conv_id: r.text for r in render_turns(turns).collect()}
+    assert texts[1].count("<|im_start|>system") == 1
 
 
 SYSTEM = "<|im_start|>system\nYou are a helpful assistant.<|im_end|>\n"
@@ -134,8 +141,6 @@ def test_render_cases(spark):
     assert got[2].text == "<|im_start|>system\nS<|im_end|>\n<|im_start|>user\nhi<|im_end|>\n" + tail
     assert got[3].text == SYSTEM + "<|im_start|>user\nhi<|im_end|>\n<|im_start|>system\nS<|im_end|>\n" + tail
     assert [s.text for s in got[1].segments if s.generated] == ["yo"]
-    parts = render_turns(turns.where("conv_id = 1"), part_turns=1).orderBy("part").collect()
-    assert "".join(p.text for p in parts) == got[1].text.removesuffix(tail)
 
 
 @pytest.mark.parametrize("labels", [True, False])
@@ -460,3 +465,24 @@ def test_metric_stream_drops_late_and_holds_open(spark, tmp_path):
     assert rows(drain().select("n", "mean")) == [(2, 1.5)]
     points(3, 60).write.mode("append").parquet(source)  # 3 is too late, 60 closes day two
     assert rows(drain().select("n", "mean")) == [(1, 30.0), (2, 1.5)]
+
+
+def test_exact_keys_are_required(spark):
+    df = spark.createDataFrame([("a", 0), ("b", 1)], "category STRING, pos BIGINT")
+    criteria = spark.createDataFrame([("a", "be a")], "category STRING, criterion STRING")
+    with pytest.raises(Exception, match="no criterion for b"):
+        attach_criteria(df, criteria).count()
+    assert attach_criteria(df, criteria, on_missing="drop").count() == 1
+    replies = spark.createDataFrame([("request-1", "x")], "custom_id STRING, content STRING")
+    with pytest.raises(Exception, match="no reply for request-0"):
+        rejoin_responses(df, replies).count()
+    assert rows(rejoin_responses(df, replies, on_missing="drop").select("pos", "content")) == [(1, "x")]
+
+
+def test_positions_behind_the_grid_do_not_count(spark):
+    cells = [(1, side, model, pos, -1.0 if (side, model) == ("chosen", "policy") else 0.0)
+             for side in ("chosen", "rejected") for model in ("policy", "reference") for pos in range(8)]
+    logps = spark.createDataFrame(cells, "example_id INT, side STRING, model STRING, pos INT, logp DOUBLE")
+    examples = spark.createDataFrame([(1, 0)], "example_id INT, batch_id INT")
+    loss = preference_loss(logps, examples, beta=0.5, length=2).first().loss
+    assert abs(loss - 0.9740769841801067) < 1e-12

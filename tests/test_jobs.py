@@ -2,7 +2,9 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
+from stand_ins import echo_generator, length_scorer, letter_embedder
 
 from tunesmith.operators.inference import PROFILES
 from tunesmith.operators.scoring import parse_rewards, score_with
@@ -15,7 +17,7 @@ from tunesmith.plans import (
     revision_stage,
     sft_split,
 )
-from tunesmith.plugins import echo_generator, length_scorer, letter_embedder
+from tunesmith.sources.readers import read_completions, read_prompts, read_records
 
 
 def arrays(tmp_path, **files):
@@ -94,3 +96,49 @@ def test_compare_models_uses_the_cache(spark):
     assert (got.n_prompts, got.n_scored) == (4, 4)
     # "1024> prompt i" after cleaning: 14 characters, with the prompt 22; "x": 9
     assert (got.mean_a, got.mean_b) == (22 % 7, 9 % 7)
+
+
+def test_jobs_read_each_other(spark, tmp_path):
+    """Prompts -> criteria records -> first replies -> a revision stage, on files."""
+    source = tmp_path / "prompts"
+    source.mkdir()
+    for part, rows in enumerate((["b", "a"], [], ["d\u00e9", None, "c"])):
+        (source / f"{part}.jsonl").write_text("".join(json.dumps({"prompt": r, "other": 1}) + "\n\n" for r in rows))
+    prompts = read_prompts(spark, str(source))
+    assert [r.prompt for r in prompts.orderBy("pos").collect()] == ["b", "a", "d\u00e9", None, "c"]
+    assert sorted(r.pos for r in prompts.collect()) == list(range(5))
+    exemplars = spark.createDataFrame([(0, "A", "aa"), (1, "Z", "zzz")], "ord INT, category STRING, example STRING")
+    criteria = spark.createDataFrame([(0, "A", "be A"), (1, "Z", "be Z")], "ord INT, category STRING, criterion STRING")
+    records = str(tmp_path / "records")
+    prepare_criteria(prompts.fillna("-"), letter_embedder, records, exemplars, criteria)
+    assert [r.x for r in read_records(spark, records).orderBy("pos").collect()] == ["b", "a", "d\u00e9", "-", "c"]
+    replies = str(tmp_path / "replies")
+    make_initial_responses(spark, {"short": records}, echo_generator, replies)
+    first = f"{replies}/split=short"
+    assert [r.pos for r in read_completions(spark, first).orderBy("pos").collect()] == list(range(5))
+    vocab = build_vocab(spark.createDataFrame([("new",)], "text STRING"), 10)
+    examples, _ = revision_stage(spark, records, first, [first], vocab, 1, 2, str(tmp_path / "stage"))
+    assert spark.read.parquet(examples).count() == 5
+
+
+@pytest.mark.parametrize("text", ['[{"x": "1"}, {"x": ', '{"x": "1"}\n{"x": ', "nothing", '[1, 2]\n[3', '[1]\n[2]'])
+def test_broken_files_fail_loudly(spark, tmp_path, text):
+    (tmp_path / "bad.json").write_text(text)
+    with pytest.raises(Exception, match="bad.json"):
+        read_records(spark, str(tmp_path / "bad.json")).collect()
+
+
+def test_broken_prompt_lines_fail(spark, tmp_path):
+    (tmp_path / "bad.jsonl").write_text('{"prompt": "a"}\n{"prompt": \n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_prompts(spark, str(tmp_path / "bad.jsonl")).collect()
+
+
+def test_empty_and_line_files(spark, tmp_path):
+    (tmp_path / "a.json").write_text("")
+    (tmp_path / "b.json").write_text('{"x": "1", "y": null}\r\n\r\n{"x": true}\n')
+    (tmp_path / "c.json").write_text(' [\n{"x": "3"}\n]')
+    got = read_records(spark, str(tmp_path / "*.json")).orderBy("pos").collect()
+    assert [(r.pos, r.x) for r in got] == [(0, "1"), (1, "true"), (2, "3")]
+    (tmp_path / "d.jsonl").write_text('"one"\n{"completion": "two"}\n')
+    assert [r.completion for r in read_completions(spark, str(tmp_path / "d.jsonl")).orderBy("pos").collect()] == ["one", "two"]

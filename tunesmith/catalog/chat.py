@@ -43,7 +43,7 @@ def cv1_nest_messages(spark, sf):
 
 @register("SELECT conv_id, turn, role, text FROM conversations")
 def cv1_unnest_messages(spark, sf):
-    return unnest_messages(nest_messages(table(spark, sf, "conversations"), 2), 2)
+    return unnest_messages(nest_messages(table(spark, sf, "conversations")))
 
 
 @register(

@@ -19,11 +19,8 @@ from tunesmith.operators.scoring import (
     evaluate,
     parse_rewards,
     rejected_rewards,
-    score_with,
     win_rate,
 )
-from tunesmith.plugins import length_scorer
-from tunesmith.session import store
 
 ENTRIES: dict[str, Entry] = {}
 register = registrar(ENTRIES)
@@ -52,17 +49,6 @@ def ev1_rejected_rewards(spark, sf):
     return rejected_rewards(parse_rewards(_raw_scores(spark, sf))).select("doc_id", "raw")
 
 
-@register(
-    """SELECT doc_id, ((length(lang) + length(text)) % 7)::DOUBLE AS reward FROM documents"""
-)
-def ev1_score_with_plugin(spark, sf):
-    pairs = table(spark, sf, "documents").select(
-        "doc_id", F.col("lang").alias("prompt"), F.col("text").alias("response")
-    )
-    scored = store(score_with(pairs, length_scorer), "scores")
-    return parse_rewards(scored).select("doc_id", "reward")
-
-
 def _label_pairs(spark, sf):
     """Quality against toxicity per document, null where there is no label."""
     docs = table(spark, sf, "documents").select("doc_id", "lang", "source")
@@ -230,13 +216,13 @@ _NLS = "(ln(1 + exp(-abs(0.5 * {z}))) + greatest(-0.5 * {z}, 0))"
 
 @register(
     f"""WITH {_LOGP_CTE},
-        cell AS (SELECT conv_id, sum({_NLS.format(z='z')}) AS s, count(*) AS n FROM zs GROUP BY conv_id)
+        cell AS (SELECT conv_id, sum({_NLS.format(z='z')}) AS s, count(*) AS n FROM zs WHERE pos < 1024 GROUP BY conv_id)
         SELECT batch_id::BIGINT AS batch_id, count(*) AS n_examples,
-          round((coalesce(sum(s), 0) + (count(*) * 8192 - coalesce(sum(n), 0)) * ln(2)) / (count(*) * 8192), 6) AS loss
+          round((coalesce(sum(s), 0) + (count(*) * 1024 - coalesce(sum(n), 0)) * ln(2)) / (count(*) * 1024), 6) AS loss
         FROM ex LEFT JOIN cell USING (conv_id) GROUP BY batch_id"""
 )
 def ev5_preference_loss_token_grid(spark, sf):
-    loss = preference_loss(*_preference_logps(spark, sf), length=8192)
+    loss = preference_loss(*_preference_logps(spark, sf))
     return loss.select("batch_id", "n_examples", F.round("loss", 6).alias("loss"))
 
 

@@ -20,7 +20,6 @@ from tunesmith.operators.criteria import (
     assign_nearest,
     centroids,
     criteria_dataset,
-    embed,
     embed_tfidf,
     revision_dataset,
     revision_prompts,
@@ -28,7 +27,6 @@ from tunesmith.operators.criteria import (
 from tunesmith.functions.text import revision_prompt
 from tunesmith.operators.inference import PROFILES
 from tunesmith.operators.position import with_position
-from tunesmith.plugins import LETTERS, letter_embedder
 from tunesmith.session import new_folder, store
 from tunesmith.sources import (
     append_metrics,
@@ -48,10 +46,11 @@ register = registrar(ENTRIES)
 # --- sources and sinks: written by Spark, read back through the readers ---------------
 
 
-@register("SELECT text AS prompt FROM documents")
+@register("SELECT row_number() OVER (ORDER BY doc_id) - 1 AS pos, text AS prompt FROM documents")
 def io1_read_prompts(spark, sf):
     path = new_folder(spark, "prompts")
-    write_records(table(spark, sf, "documents").select(F.col("text").alias("prompt")), path)
+    ordered = table(spark, sf, "documents").orderBy("doc_id")
+    write_records(ordered.select(F.col("text").alias("prompt")), path)
     return read_prompts(spark, path)
 
 
@@ -298,20 +297,6 @@ _NEAREST = f"""{_CENTROIDS},
              QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY raw DESC, label) = 1)"""
 
 
-@register(
-    "SELECT doc_id, "
-    + ", ".join(
-        f"(length(text) - length(replace(text, '{c}', '')))::DOUBLE AS n_{c}" for c in LETTERS[:5]
-    )
-    + " FROM documents"
-)
-def ct0_embed(spark, sf):
-    vectors = embed(table(spark, sf, "documents").select("doc_id", "text"), letter_embedder)
-    return vectors.select(
-        "doc_id", *[F.col("embedding")[i].cast("double").alias(f"n_{c}") for i, c in enumerate(LETTERS[:5])]
-    )
-
-
 @register()
 def ct0_embed_tfidf(spark, sf):
     vectors = embed_tfidf(table(spark, sf, "documents").select("doc_id", "text"))
@@ -406,6 +391,6 @@ def ct5_revision_prompts(spark, sf):
     return revision_prompts(records, replies)
 
 
-@register(f"WITH {REVISION_CTE} SELECT pos, prompt, completion FROM revs WHERE pos < 2000")
+@register(f"WITH {REVISION_CTE} SELECT pos, prompt, completion FROM revs")
 def ct6_revision_dataset(spark, sf):
     return revision_dataset(*revision_inputs(spark, sf)).select("pos", "prompt", "completion")

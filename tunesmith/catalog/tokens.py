@@ -101,7 +101,7 @@ _LAST = "max(CASE WHEN id = 2 THEN k END) OVER (PARTITION BY {key}) AS last_end"
 
 
 @register(
-    f"""WITH {_FX}, ends AS (SELECT *, {_LAST.format(key='conv_id')} FROM num WHERE k <= 100)
+    f"""WITH {_FX}, ends AS (SELECT *, {_LAST.format(key='conv_id')} FROM num)
         SELECT conv_id,
           string_agg(CASE WHEN g = 1 OR k = last_end THEN '1' ELSE '0' END, ',' ORDER BY k) AS mask,
           string_agg((CASE WHEN g = 1 OR k = last_end THEN id ELSE -100 END)::VARCHAR, ','
@@ -109,8 +109,8 @@ _LAST = "max(CASE WHEN id = 2 THEN k END) OVER (PARTITION BY {key}) AS last_end"
         FROM ends GROUP BY conv_id"""
 )
 def tk3_tk4_masks_and_labels(spark, sf):
-    """Cut at 100 tokens, so that the last end token is often not the assistant's."""
-    rows = fit_length(_encoded_exchanges(spark, sf), 100, "truncate").withColumn(
+    """Over whole exchanges; cut ones are tested by the length policies."""
+    rows = _encoded_exchanges(spark, sf).withColumn(
         "mask", mask_with_end(F.col("ids"), F.col("generated"))
     )
     rows = rows.withColumn("labels", labels_from_mask(F.col("ids"), F.col("mask")))
@@ -231,8 +231,7 @@ def tk8_revision_examples(spark, sf):
         FROM revs LEFT JOIN used USING (pos) LEFT JOIN (
           SELECT pos, string_agg(id::VARCHAR, ',' ORDER BY k) AS ids,
             string_agg((CASE WHEN g = 1 OR k = last_end THEN id ELSE -100 END)::VARCHAR, ','
-                       ORDER BY k) AS labels FROM ends GROUP BY pos) USING (pos)
-        WHERE revs.pos < {V.STAGE_MAX_SAMPLES}"""
+                       ORDER BY k) AS labels FROM ends GROUP BY pos) USING (pos)"""
 )
 def tk8_revision_stage_rows(spark, sf):
     pairs = revision_dataset(*revision_inputs(spark, sf))

@@ -20,14 +20,31 @@ def zip_join(*frames: DataFrame, pos: str = "pos") -> DataFrame:
 
 def unmatched(a: DataFrame, b: DataFrame, key: str = "pos") -> DataFrame:
     """``(key, side)`` for rows of ``a`` or ``b`` without a partner (strict zip)."""
-    left = a.select(key).join(b.select(key), key, "left_anti").withColumn("side", F.lit("left"))
-    right = b.select(key).join(a.select(key), key, "left_anti").withColumn("side", F.lit("right"))
-    return left.unionByName(right)
+    left = a.select(key, F.lit(True).alias("in_left"))
+    right = b.select(key, F.lit(True).alias("in_right"))
+    alone = left.join(right, key, "full").where("in_left IS NULL OR in_right IS NULL")
+    return alone.select(key, F.when(F.col("in_left"), "left").otherwise("right").alias("side"))
 
 
-def attach_criteria(df: DataFrame, criteria: DataFrame, key: str = "category") -> DataFrame:
+def exact_join(df: DataFrame, other: DataFrame, key: str, what: str, on_missing: str = "raise") -> DataFrame:
+    """Join in which every row of ``df`` must find its key.
+
+    ``on_missing='raise'`` fails the job at the first row without a partner and names its
+    key; ``'drop'`` leaves such rows out.
+    """
+    if on_missing == "drop":
+        return df.join(other, key)
+    if on_missing != "raise":
+        raise ValueError(f"on_missing: {on_missing}")
+    joined = df.join(other.withColumn("_found", F.lit(True)), key, "left")
+    missing = F.raise_error(F.concat(F.lit(f"no {what} for "), F.coalesce(F.col(key).cast("string"), F.lit("null"))))
+    found = F.when(F.col("_found").isNull(), missing.cast("boolean")).otherwise(F.lit(True))
+    return joined.where(found).drop("_found")
+
+
+def attach_criteria(df: DataFrame, criteria: DataFrame, key: str = "category", on_missing: str = "raise") -> DataFrame:
     """Add the criterion of each row's category."""
-    return df.join(criteria, key)
+    return exact_join(df, criteria, key, "criterion", on_missing)
 
 
 def missing_categories(df: DataFrame, criteria: DataFrame, key: str = "category") -> DataFrame:
@@ -36,10 +53,12 @@ def missing_categories(df: DataFrame, criteria: DataFrame, key: str = "category"
     return used.join(criteria, key, "left_anti")
 
 
-def rejoin_responses(prompts: DataFrame, replies: DataFrame, pos: str = "pos") -> DataFrame:
+def rejoin_responses(
+    prompts: DataFrame, replies: DataFrame, pos: str = "pos", on_missing: str = "raise"
+) -> DataFrame:
     """Put ``(custom_id, content)`` replies back to ``request-{pos}`` prompts."""
     wanted = prompts.withColumn("custom_id", request_id(pos))
-    return wanted.join(replies.select("custom_id", "content"), "custom_id")
+    return exact_join(wanted, replies.select("custom_id", "content"), "custom_id", "reply", on_missing)
 
 
 def missing_responses(prompts: DataFrame, replies: DataFrame, pos: str = "pos") -> DataFrame:

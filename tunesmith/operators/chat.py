@@ -19,44 +19,36 @@ from tunesmith.fixed_values import (
     VISION_START,
 )
 from tunesmith.functions.text import text_or_none_word
-from tunesmith.operators.keys import only_likely
-
-PART_TURNS = 4096
-SALTS = 32
 
 
 # --- nesting ---------------------------------------------------------------
 
 
-def nest_messages(turns: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
-    """Long form -> ``(conv_id, part, messages)`` in turn order.
+def nest_messages(turns: DataFrame) -> DataFrame:
+    """Long form -> ``(conv_id, messages)`` in turn order, one row per conversation.
 
-    One row holds ``part_turns`` consecutive turn numbers, so an ordinary
-    conversation is the single row ``part = 0`` and a giant one becomes many rows
-    on many tasks instead of one array.
+    A message is ``(role, content, turn)``.  Nesting is for output: operators that need
+    no whole conversation in one value work on the long form.
     """
     return (
-        turns.groupBy("conv_id", F.floor(F.col("turn") / part_turns).alias("part"))
+        turns.groupBy("conv_id")
         .agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("m"))
         .select(
             "conv_id",
-            "part",
             F.transform(
-                "m", lambda x: F.struct(x["role"].alias("role"), x["text"].alias("content"))
+                "m",
+                lambda x: F.struct(
+                    x["role"].alias("role"), x["text"].alias("content"), x["turn"].alias("turn")
+                ),
             ).alias("messages"),
         )
     )
 
 
-def unnest_messages(df: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
-    """The inverse for conversations whose turns are numbered 0, 1, 2, ..."""
-    return df.select(
-        "conv_id", "part", F.posexplode("messages").alias("i", "m")
-    ).select(
-        "conv_id",
-        (F.col("part") * part_turns + F.col("i")).alias("turn"),
-        F.col("m.role").alias("role"),
-        F.col("m.content").alias("text"),
+def unnest_messages(df: DataFrame) -> DataFrame:
+    """The inverse: ``(conv_id, turn, role, text)`` with the turns as they were."""
+    return df.select("conv_id", F.explode("messages").alias("m")).select(
+        "conv_id", F.col("m.turn").alias("turn"), F.col("m.role").alias("role"), F.col("m.content").alias("text")
     )
 
 
@@ -83,58 +75,34 @@ def first_exchange(turns: DataFrame, on_invalid: str = "drop") -> DataFrame:
     skipped.  ``on_invalid='drop'`` leaves out conversations without such a pair,
     ``'flag'`` keeps them with ``valid = false`` and null texts.
 
-    One aggregate with map-side combining finds the first user and the first
-    assistant turn, which settles every conversation that does not open with an
-    assistant.  Those few are looked up again, spread over ``SALTS`` so that one
-    huge conversation does not end up in one task.
+    Which turns are wanted is found on ids, turn numbers and roles alone: one aggregate
+    for the first user turn, one for the first assistant turn behind it.  Texts are then
+    fetched by ``(conv_id, turn)``, a key without hot values, at most two per conversation.
     """
     if on_invalid not in ("drop", "flag"):
         raise ValueError(f"on_invalid: {on_invalid}")
-    user, assistant = F.col("role") == "user", F.col("role") == "assistant"
-    spoken = turns.select(
-        "conv_id",
-        F.when(user, F.col("turn")).alias("u"),
-        F.when(assistant, F.col("turn")).alias("a"),
-        F.when(user | assistant, F.col("text")).alias("text"),
-    )
-    if on_invalid == "drop":
-        spoken = spoken.where("u IS NOT NULL OR a IS NOT NULL")
-    heads = spoken.groupBy("conv_id").agg(
-        F.min("u").alias("u"),
-        F.min_by("text", "u").alias("prompt"),
-        F.min("a").alias("a"),
-        F.min_by("text", "a").alias("reply"),
-    )
-
-    # who opens with an assistant: found on the two narrow columns alone
-    starts = turns.groupBy("conv_id").agg(
-        F.min(F.when(user, F.col("turn"))).alias("u"),
-        F.min(F.when(assistant, F.col("turn"))).alias("a"),
-    )
-    early = starts.where("a < u").select("conv_id", "u")
-    replies = only_likely(turns.where(assistant), early, "conv_id").select(
-        "conv_id", "turn", "text", F.pmod("turn", F.lit(SALTS)).alias("salt")
-    )
-    salted = early.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    later = (
-        replies.join(salted.withColumn("salt", F.col("salt").cast("bigint")), ["conv_id", "salt"])
+    narrow = turns.select("conv_id", "turn", "role")
+    starts = narrow.groupBy("conv_id").agg(F.min(F.when(F.col("role") == "user", F.col("turn"))).alias("u"))
+    replies = (
+        narrow.where("role = 'assistant'")
+        .join(starts.where("u IS NOT NULL"), "conv_id")
         .where("turn > u")
         .groupBy("conv_id")
-        .agg(F.min_by("text", "turn").alias("later_reply"), F.min("turn").alias("later"))
+        .agg(F.min("u").alias("u"), F.min("turn").alias("a"))
     )
-
-    direct = F.col("a") > F.col("u")
-    pairs = heads.join(later, "conv_id", "left").select(
-        "conv_id",
-        "prompt",
-        F.when(direct, F.col("reply")).otherwise(F.col("later_reply")).alias("completion"),
-        (F.col("u").isNotNull() & (F.coalesce(direct, F.lit(False)) | F.col("later").isNotNull()))
-        .alias("valid"),
+    side = lambda turn, first: F.struct(F.col(turn).alias("turn"), F.lit(first).alias("first"))
+    wanted = replies.select("conv_id", F.explode(F.array(side("u", True), side("a", False))).alias("w"))
+    texts = turns.select("conv_id", "turn", "text").join(
+        wanted.select("conv_id", "w.turn", "w.first"), ["conv_id", "turn"]
     )
+    both = texts.groupBy("conv_id").agg(F.collect_list(F.struct("first", "text")).alias("t"))
+    text = lambda first: F.filter("t", lambda x: x["first"] == F.lit(first))[0]["text"]
+    pairs = both.select("conv_id", text(True).alias("prompt"), text(False).alias("completion"))
     if on_invalid == "drop":
-        return pairs.where("valid").drop("valid")
-    keep = lambda c: F.when(F.col("valid"), F.col(c)).alias(c)
-    return pairs.select("conv_id", keep("prompt"), keep("completion"), "valid")
+        return pairs
+    found = pairs.withColumn("valid", F.lit(True))
+    flagged = starts.select("conv_id").join(found, "conv_id", "left")
+    return flagged.select("conv_id", "prompt", "completion", F.coalesce("valid", F.lit(False)).alias("valid"))
 
 
 # --- two-message conversations -------------------------------------------------
@@ -238,14 +206,12 @@ def render_chat(
     messages: str = "messages",
     add_generation_prompt: bool = False,
     add_vision_id: bool = False,
-    opening: Column | None = None,
 ) -> DataFrame:
     """Add ``segments ARRAY<STRUCT<text, generated>>`` and ``text``.
 
     A message has a ``content`` string or ``parts ARRAY<STRUCT<kind, text>>``.
-    Assistant content is flagged as generated, its end token is not.  ``opening``
-    says whether a row holds the start of its conversation (default: every row);
-    only there a missing system turn is filled in.
+    Assistant content is flagged as generated, its end token is not.  A missing system
+    turn is filled in.
     """
     cols = df.columns
     fields = df.schema[messages].dataType.elementType.fieldNames()
@@ -290,10 +256,7 @@ def render_chat(
         )
     turns = F.flatten(F.transform(m, lambda x, n: _one_text(x, body(x, n))))
     first_role = F.try_element_at(m, F.lit(1))["role"]
-    fill = first_role != "system"
-    if opening is not None:
-        fill = fill & opening
-    lead = F.when(fill, _default_system()).otherwise(_no_segments())
+    lead = F.when(first_role != "system", _default_system()).otherwise(_no_segments())
     pieces = [lead, turns]
     if add_generation_prompt:
         pieces.append(F.array(_segment(F.lit(f"{START}assistant\n"))))
@@ -302,16 +265,21 @@ def render_chat(
     )
 
 
-def render_turns(turns: DataFrame, part_turns: int = PART_TURNS, **options) -> DataFrame:
-    """Render a corpus in long form -> ``(conv_id, part, segments, text)``.
+def render_turns(turns: DataFrame, **options) -> DataFrame:
+    """Render a corpus in long form -> ``(conv_id, segments, text)``."""
+    return render_chat(nest_messages(turns), **options).select("conv_id", "segments", "text")
 
-    The text of a conversation is the concatenation of its parts.
+
+def render_each_turn(turns: DataFrame) -> DataFrame:
+    """Render turn by turn -> ``(conv_id, turn, segments, text)``, without nesting.
+
+    The text of a conversation is the concatenation in turn order.  For conversations
+    of any length: only ids and turn numbers are aggregated.
     """
-    parts = nest_messages(turns, part_turns)
-    opening = turns.groupBy("conv_id").agg(
-        F.floor(F.min("turn") / part_turns).alias("part")
-    ).withColumn("opens", F.lit(True))
-    marked = parts.join(opening, ["conv_id", "part"], "left")
-    return render_chat(marked, opening=F.col("opens").isNotNull(), **options).select(
-        "conv_id", "part", "segments", "text"
-    )
+    opening = turns.groupBy("conv_id").agg(F.min("turn").alias("opens"))
+    fill = (F.col("turn") == F.col("opens")) & (F.col("role") != "system")
+    lead = F.when(fill, _default_system()).otherwise(_no_segments())
+    message = F.struct("role", F.col("text").alias("content"))
+    body = F.array(_segment(F.col("text"), F.col("role") == "assistant"))
+    rows = turns.join(opening, "conv_id").withColumn("segments", F.concat(lead, _one_text(message, body)))
+    return rows.select("conv_id", "turn", "segments", F.array_join(F.col("segments.text"), "").alias("text"))

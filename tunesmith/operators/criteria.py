@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tunesmith.exemplars import EXEMPLARS
-from tunesmith.fixed_values import CRITERIA, STAGE_MAX_SAMPLES
+from tunesmith.fixed_values import CRITERIA
 from tunesmith.functions.text import revision_prompt, split_words
 from tunesmith.functions.vectors import dot, norm
 from tunesmith.operators.align import attach_criteria, zip_join
@@ -150,7 +150,7 @@ def revision_dataset(
     records: DataFrame,
     first_replies: DataFrame,
     revisions: DataFrame,
-    max_samples: int | None = STAGE_MAX_SAMPLES,
+    max_samples: int | None = None,
 ) -> DataFrame:
     """Revision prompt and teacher revision per position, as exchanges.
 

@@ -35,7 +35,8 @@ def preference_loss(
 
     Only positions inside the assistant mask are stored.  ``token_grid`` is the mean
     over the padded grid of the batch (rows x ``length``): every position not stored
-    has margin 0 and adds ln 2, which is added in closed form.  ``sequence`` sums the
+    has margin 0 and adds ln 2, which is added in closed form; positions behind
+    ``length`` are not part of the grid.  ``sequence`` sums the
     margin over positions first and takes the mean over examples.
     """
     if reduce == "sequence":
@@ -47,7 +48,7 @@ def preference_loss(
         )
     if reduce != "token_grid":
         raise ValueError(f"reduce: {reduce}")
-    cells = logps.groupBy("example_id", "pos").agg(_margin().alias("z"))
+    cells = logps.where(F.col("pos") < length).groupBy("example_id", "pos").agg(_margin().alias("z"))
     sums = cells.groupBy("example_id").agg(
         F.sum(neg_log_sigmoid(beta * F.col("z"))).alias("s"), F.count(F.lit(1)).alias("n")
     )

@@ -72,7 +72,7 @@ def revision_stage(
     epochs: int,
     batch_size: int,
     out: str,
-    max_samples: int | None = V.STAGE_MAX_SAMPLES,
+    max_samples: int | None = None,
     seed: int = 0,
 ) -> tuple[str, str]:
     """One stage of revision training: token rows and the order to read them in.

@@ -46,10 +46,13 @@ def local_session(cores: int | str = 8, app: str = "tunesmith", **conf: str) ->
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a session without that setting (unit tests) gets a temporary folder.
+    Without that setting only a session whose driver is its own executor gets a
+    temporary folder; on a cluster executors would write to their own disks.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tunesmith-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")

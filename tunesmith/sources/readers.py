@@ -18,20 +18,48 @@ from tunesmith.schemas import PROMPTS
 
 
 def read_prompts(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """JSON lines with a ``prompt`` field -> ``(prompt)``."""
-    return spark.read.schema(PROMPTS).json(path)
+    """JSON lines with a ``prompt`` field -> ``(pos, prompt)`` in file order.
+
+    Files are read in splits.  Rows are numbered within their split while it is read;
+    the rows of each split are counted, and a running sum over the splits (one short row
+    each, in path order) puts them behind one another.  A line that is no JSON fails the
+    job.
+    """
+    lines = spark.read.text(path).where(F.trim("value") != "").select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        "value",
+        F.monotonically_increasing_id().alias("i"),
+    )
+    splits = lines.groupBy("file", "block").agg(F.min("i").alias("low"), F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(W.orderBy("file", "block")) - F.col("n")
+    placed = lines.join(splits.select("file", "block", "low", before.alias("first")), ["file", "block"])
+    record = F.from_json("value", PROMPTS, {"mode": "FAILFAST"})
+    return placed.select(
+        (F.col("first") + F.col("i") - F.col("low")).alias("pos"), record["prompt"].alias("prompt")
+    )
 
 
 def read_json_arrays(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Files that each hold one JSON array -> ``(pos BIGINT, value VARIANT)``.
+    """Files that each hold one JSON array, or JSON lines -> ``(pos BIGINT, value VARIANT)``.
 
     ``pos`` runs through all files in path order.  Elements are parsed one by one
     (``ARRAY<VARIANT>``), so only the single element is bound by the variant size
-    limit, not the file.  The second pass only counts the elements per file.
+    limit, not the file.  The second pass only counts the elements per file.  An empty
+    file holds nothing; one that is neither an array nor JSON lines fails the job with
+    its name.
     """
+    lines = F.filter(F.split("value", "\r?\n"), lambda line: F.trim(line) != "")
+    parsed = F.transform(lines, lambda line: F.try_parse_json(line))
+    lines_parse = ~F.exists(parsed, lambda item: item.isNull())
+    bracketed = F.col("value").rlike(r"^\s*\[") & F.col("value").rlike(r"\]\s*$")
+    # several lines that parse one by one are several values, not one array
+    array = F.when(bracketed & ((F.size(lines) == 1) | ~lines_parse), F.from_json("value", "array<variant>"))
+    records = F.when(lines_parse & ~F.col("value").rlike(r"^\s*\["), parsed)
+    broken = F.raise_error(F.concat(F.lit("neither a JSON array nor JSON lines: "), F.col("_metadata.file_path")))
     files = spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("file"),
-        F.from_json("value", "array<variant>").alias("items"),
+        F.coalesce(array, records, broken.cast("array<variant>")).alias("items"),
     )
     # one short row per file: not a data-sized window
     offsets = files.select("file", F.size("items").alias("n")).select(
@@ -49,21 +77,29 @@ def read_json_arrays(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def read_records(
     spark: SparkSession, path: str | list[str], max_samples: int | None = None
 ) -> DataFrame:
-    """Arrays of ``{x, y, c}`` objects -> ``(pos, x, y, c)``."""
-    rows = read_json_arrays(spark, path)
+    """``{x, y, c}`` objects -> ``(pos, x, y, c)``.
+
+    Objects that carry their own ``pos``, as the record writer's do, keep it.
+    """
+    rows = _own_positions(read_json_arrays(spark, path))
     if max_samples is not None:
         rows = rows.where(F.col("pos") < max_samples)
     fields = [F.try_variant_get("value", f"$.{k}", "string").alias(k) for k in "xyc"]
     return rows.select("pos", *fields)
 
 
+def _own_positions(rows: DataFrame) -> DataFrame:
+    own = F.try_variant_get("value", "$.pos", "bigint")
+    return rows.withColumn("pos", F.coalesce(own, F.col("pos")))
+
+
 def read_completions(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Arrays of strings or of ``{prompt, completion}`` -> ``(pos, prompt, completion)``.
 
     The form is decided element by element, so mixed files read as well.  An empty
     array gives no rows.
     """
-    rows = read_json_arrays(spark, path).withColumn(
+    rows = _own_positions(read_json_arrays(spark, path)).withColumn(
         "is_object", F.schema_of_variant("value").startswith("OBJECT")
     )
     return rows.select(
