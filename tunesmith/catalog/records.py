@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tunesmith import fixed_values as V
-from tunesmith.catalog.registry import Entry, exchange_cte, registrar, table
+from tunesmith.catalog.registry import WORDS, Entry, exchange_cte, registrar, table
 from tunesmith.operators.align import (
     attach_criteria,
     fill_completions,
@@ -297,13 +297,17 @@ _NEAREST = f"""{_CENTROIDS},
              QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY raw DESC, label) = 1)"""
 
 
-@register()
+@register(
+    f"""WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '{WORDS}')) AS w FROM documents),
+        c AS (SELECT doc_id, (('0x' || substr(md5(w), 1, 8))::BIGINT % 256)::INT AS i, count(*) AS n FROM w GROUP BY ALL),
+        f AS (SELECT i, count(*) AS docs FROM c GROUP BY i),
+        x AS (SELECT doc_id, i, n * ln(((SELECT count(*) FROM documents) + 1.0) / (docs + 1.0)) AS x FROM c JOIN f USING (i))
+        SELECT doc_id, i, round(x / sqrt(sum(x * x) OVER (PARTITION BY doc_id)), 6) AS v FROM x WHERE x <> 0"""
+)
 def ct0_embed_tfidf(spark, sf):
     vectors = embed_tfidf(table(spark, sf, "documents").select("doc_id", "text"))
-    length = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
-    return vectors.select(
-        "doc_id", F.size("embedding").alias("dim"), F.round(F.sqrt(length), 4).alias("length")
-    )
+    entries = vectors.select("doc_id", F.posexplode("embedding").alias("i", "v")).where("v <> 0")
+    return entries.select("doc_id", "i", F.round("v", 6).alias("v"))
 
 
 @register(

@@ -5,8 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.ml.feature import IDF, HashingTF, Normalizer
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,16 +54,32 @@ def embed(
 
 
 def embed_tfidf(
-    df: DataFrame, text: str = "text", vector: str = "embedding", dim: int = 256
+    df: DataFrame, key: str = "doc_id", text: str = "text", vector: str = "embedding", dim: int = 256
 ) -> DataFrame:
-    """Model-free vectors: hashed term counts, inverse document weights, unit length."""
-    words = df.withColumn("_words", split_words(F.lower(text)))
-    counts = HashingTF(inputCol="_words", outputCol="_tf", numFeatures=dim).transform(words)
-    weighted = IDF(inputCol="_tf", outputCol="_idf").fit(counts).transform(counts)
-    unit = Normalizer(inputCol="_idf", outputCol="_unit").transform(weighted)
-    return unit.withColumn(vector, vector_to_array("_unit", "float32")).drop(
-        "_words", "_tf", "_idf", "_unit"
+    """Model-free vectors ``(key, vector)``: hashed word counts, inverse document weights,
+    unit length; ``key`` is unique.
+
+    A word counts in the place that the first 32 bits of its md5 give, modulo ``dim``.
+    The weights, ``ln((rows + 1) / (rows with the place + 1))``, are one value of at most
+    ``dim`` numbers.  A text without words has the zero vector.
+    """
+    words = df.select(key, F.explode(split_words(F.lower(F.col(text)))).alias("w"))
+    place = F.conv(F.substring(F.md5(F.col("w").cast("binary")), 1, 8), 16, 10).cast("bigint") % dim
+    counts = words.groupBy(key, place.cast("int").alias("i")).agg(F.count(F.lit(1)).alias("n"))
+    found = counts.groupBy("i").agg(F.count(F.lit(1)).alias("docs"))
+    total = df.agg(F.count(F.lit(1))).scalar()
+    # as many rows as there are places: Spark sees the small side by itself
+    weighted = counts.join(found, "i").select(
+        key, "i", (F.col("n") * F.log((total + F.lit(1.0)) / (F.col("docs") + F.lit(1.0)))).alias("x")
+    )
+    rows = weighted.groupBy(key).agg(
+        F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"), F.collect_list(F.struct("i", "x")).alias("e")
     )
+    unit = F.transform("e", lambda e: F.struct(e["i"].alias("i"), F.coalesce(F.try_divide(e["x"], F.col("norm")), F.lit(0.0)).alias("x")))
+    places = F.sequence(F.lit(0), F.lit(dim - 1))
+    zeros = lambda some: F.transform(some, lambda i: F.struct(i.alias("i"), F.lit(0.0).alias("x")))
+    every = F.coalesce(F.array_sort(F.concat(unit, zeros(F.array_except(places, "e.i")))), zeros(places))
+    return df.select(key).join(rows, key, "left").select(key, F.transform(every, lambda e: e["x"]).alias(vector))
 
 
 def centroids(exemplars: DataFrame, vector: str = "embedding") -> DataFrame:

@@ -32,6 +32,7 @@ class DecodeProfile:
     stop: str | None = None
     decay_start: int | None = None
     decay_factor: float | None = None
+    stop_ids: tuple[int, ...] = ()
 
     @property
     def key(self) -> str:
@@ -46,7 +47,7 @@ PROFILES = {
     "eval_sft": DecodeProfile(1024, 1 + 1e-5, V.END, 819, 1.0001),
     "eval_dpo": DecodeProfile(1024, 1.15, V.END, 819, 1.0001),
     "student": DecodeProfile(512, 1.12, V.END, 358, 1.1),
-    "initial": DecodeProfile(250, 1.22),
+    "initial": DecodeProfile(250, 1.22, stop_ids=(151465,)),
 }
 
 Generator = Callable[[list[str]], list[str]]
