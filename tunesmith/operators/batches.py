@@ -124,17 +124,27 @@ def difficulty_buckets(
     length: Column,
     names: Sequence[str] = tuple(n for n, _ in STAGES),
     cuts: Sequence[float] | None = None,
-    accuracy: int = 100_000,
 ) -> DataFrame:
     """Add ``difficulty`` by response length.
 
     ``cuts`` are upper bounds (inclusive); without them they are the equal-share
-    quantiles of the data, computed as one small value.
+    quantiles of the data.  These are exact: rows are counted per length, combined before
+    the shuffle, and the running sum is over distinct lengths, at most as many as the
+    longest text has tokens.
     """
     rows = df.withColumn("_length", length)
     if cuts is None:
-        shares = [i / len(names) for i in range(1, len(names))]
-        bounds = rows.agg(F.percentile_approx("_length", shares, accuracy).alias("q")).scalar()
+        counts = rows.where("_length IS NOT NULL").groupBy("_length").agg(F.count(F.lit(1)).alias("n"))
+        upto = counts.select(
+            "_length",
+            F.sum("n").over(W.orderBy("_length")).alias("upto"),
+            F.sum("n").over(W.orderBy("_length").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)).alias("all"),
+        )
+        least = [
+            F.min(F.when(F.col("upto") * len(names) >= F.col("all") * i, F.col("_length")))
+            for i in range(1, len(names))
+        ]
+        bounds = upto.agg(F.array(*least).alias("q")).scalar()
     else:
         bounds = F.array(*[F.lit(c) for c in cuts])
     rows = rows.withColumn("_bounds", bounds)
