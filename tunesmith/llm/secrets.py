@@ -3,8 +3,9 @@
 Three kinds of secrets are looked for in a text and in every layer that can be decoded
 from it: URL escapes, Unicode and hexadecimal escapes, base64, and gzip or zlib streams
 inside base64.  Decoded layers go on a worklist and are scanned and decoded in turn until
-nothing new appears; a layer that was seen before (by its text) is not read again, so
-layers that decode to each other end.  Every character of a layer knows the stretch of
+nothing new appears; a layer that was seen before (same text from the same stretch) is not
+read again, so layers that decode to each other end, and a secret that is encoded alike in
+several places is found in each of them.  Every character of a layer knows the stretch of
 the original text that it came from, and a finding is reported as that stretch.
 
 Defined results: null and empty texts hold nothing; texts are read whole; repeated texts
@@ -223,13 +224,14 @@ def scan(text: str | None) -> tuple[list, list]:
         return [], []
     base = matches(text)
     spans = {(k, a, b): "" for k, a, b in base}
-    seen = {text}
+    seen = {(text, 0, len(text))}
     work = [Layer(text, None, None, "")]
     while work:
         for layer in decoded(work.pop()):
-            if layer.text in seen:
+            place = (layer.text, layer.starts[0], layer.ends[-1])
+            if place in seen:
                 continue
-            seen.add(layer.text)
+            seen.add(place)
             for kind, a, b in matches(layer.text):
                 span = (kind, min(layer.starts[a:b]), max(layer.ends[a:b]))
                 spans.setdefault(span, layer.way)
