@@ -104,6 +104,15 @@ def test_vectors_brute_force(spark):
     assert vectors.near_vectors(df.limit(0)).count() == 0
 
 
+def test_passes_grow_with_the_largest_label():
+    sizes = [0, 1, 24, 1_000, 100_000, 10_000_000]
+    assert [vectors.passes_for(n) for n in sizes] == sorted(vectors.passes_for(n) for n in sizes)
+    for n in sizes[3:]:
+        bits = np.log2(n / vectors.WINDOW)
+        together = (1 - np.arccos(0.93) / np.pi) ** bits
+        assert (1 - together) ** vectors.passes_for(n) <= vectors.MISS
+
+
 # --- toxicity and language ----------------------------------------------------------
 
 
@@ -241,6 +250,11 @@ def test_secret_layers():
     _, found = secrets.scan("k password%3Dabcdefgh9 z")
     assert found == [("assign", 2, 22, "u")]
     assert secrets.scan("%2525252525") == ([], [])
+    coded = base64.b64encode(b"password=hunter2hunter22").decode()
+    nested = base64.b64encode(f"see {coded} and {coded}".encode()).decode()
+    _, found = secrets.scan(f"{coded} {nested} {coded}")
+    assert len([f for f in found if f[3] == "b"]) == 2 and len([f for f in found if f[3] == "bb"]) == 2
+    assert "[SECRET] " in (left := secrets.redact(f"{coded} {coded}", [{"start": a, "end": b} for _, a, b, _ in secrets.scan(f"{coded} {coded}")[1]])) and coded not in left
 
 
 def base_findings(text):

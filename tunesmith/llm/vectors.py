@@ -6,6 +6,10 @@ label and that bit string and every vector is compared with the ``window`` next
 Pairs whose cosine (double precision) reaches ``threshold`` are links, and the links of
 all passes together form classes.
 
+The number of passes follows from the largest label: the bits that two vectors must share
+to come within a window grow with its size, and so many passes are made that a pair of
+cosine ``threshold`` fails to share them in all of them with probability ``MISS`` at most.
+
 Windows find one link of a dense neighbourhood, not all.  An exact second step completes
 them: all vectors of a class are compared with each other, in pairs of blocks, so
 ``n_links`` counts every link inside a class and no neighbour is cut off by a window.
@@ -18,6 +22,8 @@ one vector each in the result; a null id does not take part in the minimum.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,7 +33,9 @@ from tunesmith.llm.common import block_pairs, components, prepare, shuffle_width
 from tunesmith.session import store
 
 THRESHOLD = 0.93
-PASSES = 12
+#: Chance that no pass brings a pair at the threshold together.
+MISS = 0.005
+LEAST_PASSES = 12
 WINDOW = 24
 BITS = 60
 BLOCK = 2048
@@ -50,6 +58,23 @@ def directions(dim: int, passes: int, seed: int = SEED) -> np.ndarray:
     return np.random.Generator(np.random.PCG64([seed, dim])).standard_normal((dim, passes * BITS))
 
 
+def passes_for(largest: int, threshold: float = THRESHOLD, window: int = WINDOW) -> int:
+    """Passes that a label of ``largest`` distinct vectors needs.
+
+    Two vectors get the same bit with probability ``1 - angle / pi``; ``largest`` vectors
+    that share ``log2(largest / window)`` bits are about a window.
+    """
+    bits = max(0.0, math.log2(max(1, largest) / window))
+    together = (1 - math.acos(min(1.0, max(-1.0, threshold))) / math.pi) ** bits
+    needed = math.log(MISS) / math.log1p(-together) if together < 1 else 1.0
+    return max(LEAST_PASSES, math.ceil(needed))
+
+
+def largest_label(items: DataFrame) -> int:
+    sizes = items.groupBy("label", F.size("v")).agg(F.count(F.lit(1)).alias("n"))
+    return sizes.agg(F.max("n")).first()[0] or 0
+
+
 def items_of(rows: DataFrame) -> DataFrame:
     """Distinct usable vectors: ``node``, ``label``, ``dim``, ``v``, ``copies``.
 
@@ -199,14 +224,18 @@ def near_vectors(
     vector: str = "embedding",
     label: str = "label",
     threshold: float = THRESHOLD,
-    passes: int = PASSES,
+    passes: int | None = None,
     window: int = WINDOW,
     block: int = BLOCK,
 ) -> DataFrame:
-    """One row per row of ``df``: ``key``, ``n_links``, ``component_id``, ``kept``."""
+    """One row per row of ``df``: ``key``, ``n_links``, ``component_id``, ``kept``.
+
+    ``passes``: as many as the largest label needs, if not given.
+    """
     prepare(df.sparkSession)
     rows = store(with_node(df, key, vector, label), "vectors")
     items = items_of(rows)
+    passes = passes or passes_for(largest_label(items), threshold, window)
     classes = components(window_links(items, threshold, passes, window), "vector_links")
     counts = link_counts(items, classes, threshold, block)
     linked = classes.join(counts, "node", "left")
