@@ -183,26 +183,38 @@ def test_valid_preferences(spark):
 # --- positions -----------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("bucket_rows", [7, 100, 10_000])
+@pytest.mark.parametrize("parts", [1, 7, 100])
 @pytest.mark.parametrize("order", ["id % 3", "if(id % 3 = 0, 5L, id)", "1152921504606846976L + id % 3",
                                    "-id", "if(id % 2 = 0, null, id)", "cast(id % 7 as double) / 3"])
-def test_positions_do_not_depend_on_buckets(spark, order, bucket_rows):
+def test_positions_do_not_depend_on_buckets(spark, order, parts):
     df = spark.range(1000).repartition(5).withColumn("v", F.expr(order))
-    got = {r.id: r.pos for r in with_position(df, "id", "v", bucket_rows=bucket_rows).collect()}
+    got = {r.id: r.pos for r in with_position(df, "id", "v", parts=parts).collect()}
     vals = {r.id: r.v for r in df.collect()}
     key = lambda i: (vals[i] is not None, vals[i] if vals[i] is not None else 0, i)
     assert got == {k: n for n, k in enumerate(sorted(vals, key=key))}
 
 
 def test_positions_by_group_and_empty(spark):
-    df = spark.range(100).withColumn("g", F.when(F.col("id") < 70, 0).otherwise(F.col("id") % 3))
-    got = with_position(df, "id", by=["g"], bucket_rows=9)
+    df = spark.range(100).withColumn("g", F.when(F.col("id") < 70, 0).when(F.col("id") < 90, F.col("id") % 3))
+    got = with_position(df.withColumn("other", F.lit("x")), "id", by=["g"], parts=9)
+    assert got.count() == 100
     wrong = got.selectExpr("pos", "row_number() OVER (PARTITION BY g ORDER BY id) - 1 AS r").where("pos <> r")
     assert wrong.count() == 0
     assert with_position(spark.range(0), "id").count() == 0
     assert with_position(spark.range(0).withColumn("v", F.lit(1)), "id", "v").count() == 0
 
 
+def test_positions_of_strings_and_structs(spark):
+    df = spark.range(300).select(
+        F.concat(F.lit("doc-"), F.col("id")).alias("name"), F.struct((F.col("id") % 7).alias("file"), F.col("id").alias("line")).alias("place"),
+        F.lit("text").alias("text"),
+    ).unionByName(spark.sql("SELECT CAST(NULL AS STRING) AS name, named_struct('file', 0L, 'line', -1L) AS place, 'text' AS text"))
+    names = [r.name for r in with_position(df, "name", parts=9).orderBy("pos").collect()]
+    assert names == [None, *sorted(f"doc-{i}" for i in range(300))]
+    places = [tuple(r.place) for r in with_position(df, "place", parts=9).orderBy("pos").collect()]
+    assert places == [(0, -1), *sorted((i % 7, i) for i in range(300))]
+
+
 def test_shuffled_positions_are_a_permutation(spark):
     a = with_shuffled_position(spark.range(500).repartition(3), "id", 1)
     b = with_shuffled_position(spark.range(500).repartition(11), "id", 1, digits=1)

@@ -39,7 +39,13 @@ def test_encoding_does_not_shuffle_rows(spark):
 
 def test_columns_are_pruned(spark):
     plan = plan_of(spark, "sel1_with_position")
-    assert "ReadSchema: struct<doc_id:bigint>" in plan and "text" not in plan
+    assert "ReadSchema: struct<doc_id:bigint,_range:int>" in plan and "text" not in plan
+
+
+@pytest.mark.parametrize("name", ["sel1_with_position", "sel1_with_position_repeated_order", "sel1_with_position_by_group",
+                                  "tk13_difficulty_buckets"])
+def test_no_sketch_over_all_rows(spark, name):
+    assert "percentile" not in plan_of(spark, name)
 
 
 def test_partition_filters_reach_the_corpus_scan(spark):

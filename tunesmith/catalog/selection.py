@@ -17,22 +17,19 @@ from tunesmith.operators.position import (
 ENTRIES: dict[str, Entry] = {}
 register = registrar(ENTRIES)
 
-#: Far below the default, so that the test tables fill many buckets.
-BUCKET_ROWS = 100
-
 
 @register("SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS pos FROM documents")
 def sel1_with_position(spark, sf):
-    return with_position(table(spark, sf, "documents").select("doc_id"), "doc_id", bucket_rows=BUCKET_ROWS)
+    return with_position(table(spark, sf, "documents").select("doc_id"), "doc_id")
 
 
 @register(
     "SELECT event_id, row_number() OVER (ORDER BY floor(value / 40), event_id) - 1 AS pos FROM events"
 )
 def sel1_with_position_repeated_order(spark, sf):
-    """Few distinct order values: each of them fills many buckets."""
+    """Few distinct order values: each of them is cut into several ranges."""
     rows = table(spark, sf, "events").select("event_id", F.floor(F.col("value") / 40).alias("level"))
-    return with_position(rows, "event_id", "level", bucket_rows=BUCKET_ROWS).select("event_id", "pos")
+    return with_position(rows, "event_id", "level").select("event_id", "pos")
 
 
 @register(
@@ -41,7 +38,7 @@ def sel1_with_position_repeated_order(spark, sf):
 )
 def sel1_with_position_by_group(spark, sf):
     rows = table(spark, sf, "events").select("event_id", "event_type", "ts")
-    return with_position(rows, "event_id", "ts", by=["event_type"], bucket_rows=BUCKET_ROWS).select("event_id", "pos")
+    return with_position(rows, "event_id", "ts", by=["event_type"]).select("event_id", "pos")
 
 
 @register(

@@ -6,28 +6,23 @@ all into one task, so the order is cut into buckets first:
     bucket of the sort key -> rows per bucket -> start of each bucket
     -> row_number *inside* the bucket + start
 
-The bucket is a monotone function of the sort key.  The result is therefore a
-function of the values alone: it does not depend on partitioning, retries or the
-bucket borders.
+The bucket is a monotone function of the sort key: a range for sorted orders, the first
+digits of the hash for shuffled ones.  The result is therefore a function of the values
+alone: it does not depend on partitioning, retries or the bucket borders.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tunesmith.functions.text import order_hash
+from tunesmith.session import store
 
 HASH_DIGITS = 4  # 65,536 buckets for shuffled orders
-BUCKET_ROWS = 250_000  # rows that one task may sort
-MAX_BUCKETS = 16_384
-TIE_BUCKETS = 256  # buckets of the key inside one repeated value
-_ACCURACY = 100_000
 
 
 def _number_within(
@@ -36,99 +31,58 @@ def _number_within(
     sort: Sequence[str],
     by: Sequence[str],
     pos: str,
-    few: bool = True,
 ) -> DataFrame:
     by = list(by)
     rows = df.withColumn("_bucket", bucket)
     sizes = rows.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     # a window over buckets, not rows
     start = W.partitionBy(*by).orderBy("_bucket") if by else W.orderBy("_bucket")
+    names = {c: f"_start_{c}" for c in [*by, "_bucket"]}
     starts = sizes.select(
-        *by, "_bucket", (F.sum("_n").over(start) - F.col("_n")).alias("_first")
+        *[F.col(c).alias(n) for c, n in names.items()],
+        (F.sum("_n").over(start) - F.col("_n")).alias("_first"),
     )
-    if few and not by:
-        # at most one row per bucket: 65,536
+    if not by:
+        # one row per bucket: at most 65,536, or the number of ranges
         starts = F.broadcast(starts)
     inside = W.partitionBy(*by, "_bucket").orderBy(*sort)
     return (
-        rows.join(starts, [*by, "_bucket"])
+        rows.join(starts, [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()])
         .withColumn(pos, F.col("_first") + F.row_number().over(inside) - 1)
-        .drop("_bucket", "_first")
+        .drop("_bucket", "_first", *names.values())
     )
 
 
-def _borders(df: DataFrame, column: str, buckets: int) -> list:
-    """Inner quantiles of a numeric column: a small list, fetched once.
-
-    Fetched rather than left inside the plan because both passes must cut at the
-    same values, and merged quantile sketches are not exactly repeatable.
-    """
-    if buckets < 2:
-        return [0]
-    steps = "array(" + ", ".join(f"{i / buckets!r}D" for i in range(1, buckets)) + ")"
-    row = df.select(
-        F.expr(f"percentile_approx(`{column}`, {steps}, {_ACCURACY})").alias("q")
-    ).first()
-    return sorted(row["q"] or [0])
-
-
-def _bucketize(df: DataFrame, column: str, borders: Sequence, out: str) -> DataFrame:
-    """Bucket index by binary search (0 = below the first border; nulls give -1)."""
-    cuts = sorted({float(b) for b in borders})
-    splits = [float("-inf"), *cuts, float("inf")]
-    number = f"{out}_in"
-    df = df.withColumn(number, F.col(column).cast("double"))
-    df = Bucketizer(splits=splits, inputCol=number, outputCol=out, handleInvalid="keep").transform(
-        df
-    )
-    return df.withColumn(out, F.coalesce(F.col(out).cast("int"), F.lit(-1))).drop(number)
-
-
 def with_position(
     df: DataFrame,
     key: str,
     order: str | None = None,
     by: Sequence[str] = (),
     pos: str = "pos",
-    bucket_rows: int = BUCKET_ROWS,
+    parts: int | None = None,
 ) -> DataFrame:
     """Add dense 0-based positions in the order ``(order, key)``.
 
-    ``key`` is a unique integer key, ``order`` an optional numeric or timestamp
-    column that may hold repeated values, ``by`` restarts the numbering per group.
-    A value of ``order`` that repeats often enough to be a bucket border is split
-    further by ``key``, so even one value on a third of all rows stays spread out.
+    ``key`` is unique, ``order`` may hold repeated values; both can be of any type that
+    Spark sorts (numbers, strings, timestamps, structs).  ``by`` restarts the numbering
+    per group.
 
-    The number of buckets follows from the row count, which is taken first.
+    Keys alone are range-partitioned into ``parts`` buckets (the session's shuffle
+    partitions if not given) and stored with their bucket: the ranges come from Spark's
+    own sample, so they are balanced whatever the values are, and a stored bucket cannot
+    change in a retry.  A value of ``order`` on a third of all rows is cut by ``key``.
     """
-    buckets = min(MAX_BUCKETS, -(-df.select(key).count() // bucket_rows))
-    if order is None or order == key:
-        cut = _bucketize(df, key, _borders(df, key, buckets), "_b")
-        return _number_within(cut, F.col("_b"), [key], by, pos).drop("_b")
-
-    is_time = dict(df.dtypes)[order].startswith("timestamp")
-    rank = F.unix_micros(F.col(order).cast("timestamp")) if is_time else F.col(order)
-    df = df.withColumn("_rank", rank)
-    raw = _borders(df, "_rank", buckets)
-    repeated = sorted({b for i, b in enumerate(raw[1:], 1) if b == raw[i - 1]})
-    df = _bucketize(df, "_rank", raw, "_b")
-    sub = F.lit(0)
-    if repeated:
-        df = _bucketize(df, key, _borders(df, key, TIE_BUCKETS), "_tie")
-        # the last border at or below the row's value
-        values = json.dumps(sorted({float(b): b for b in raw}.values()))
-        kind = df.schema["_rank"].dataType.simpleString()
-        cuts = F.from_json(F.lit(values), f"array<{kind}>")
-        border = F.try_element_at(cuts, F.col("_b"))
-        sub = (
-            F.when(F.col("_b") <= 0, 0)
-            .when(F.col("_rank") < border, -2)
-            .when(F.col("_rank") == border, F.col("_tie"))
-            .otherwise(TIE_BUCKETS + 1)
-        )
-    bucket = F.col("_b") * (2 * TIE_BUCKETS) + sub
-    out = _number_within(df, bucket, ["_rank", key], by, pos, few=not repeated)
-    return out.drop("_rank", "_b", "_tie")
+    spark = df.sparkSession
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sort = [key] if order in (None, key) else [order, key]
+    needed = list(dict.fromkeys([*by, *sort]))
+    ranges = df.select(*needed).repartitionByRange(parts, *sort)
+    stored = store(ranges.withColumn("_range", F.spark_partition_id()), "positions")
+    placed = _number_within(stored, F.col("_range"), sort, by, pos).drop("_range")
+    if set(df.columns) == set(needed):
+        return placed.select(*df.columns, pos)
+    found = placed.select(F.col(key).alias("_placed_key"), pos)
+    return df.join(found, F.col(key).eqNullSafe(F.col("_placed_key"))).drop("_placed_key")
 
 
 def with_shuffled_position(
@@ -141,8 +95,12 @@ def with_shuffled_position(
 ) -> DataFrame:
     """Dense positions in a seeded random order of the unique ``key``.
 
+    ``digits`` (1 to 4) sets the number of buckets, 16 to its power.
+
     With ``by`` every group gets its own order (the group is part of the hash).
     """
+    if not 1 <= digits <= HASH_DIGITS:
+        raise ValueError(f"digits: {digits}")
     rows = df.withColumn("_hash", order_hash(seed, *[F.col(c) for c in by], F.col(key)))
     bucket = F.conv(F.substring("_hash", 1, digits), 16, 10).cast("int")
     return _number_within(rows, bucket, ["_hash", key], by, pos).drop("_hash")
