@@ -24,7 +24,7 @@ from tunesmith.operators.chat import (
     valid_preferences,
     zip_exchange,
 )
-from tunesmith.operators.criteria import assign_nearest, default_criteria
+from tunesmith.operators.criteria import assign_nearest, criteria_dataset, default_criteria
 from tunesmith.operators.inference import batch_responses, read_reply_lines, reply_issues
 from tunesmith.operators.losses import masked_nll, preference_loss
 from tunesmith.operators.metrics import epoch_summary, running_loss, stage_summary
@@ -36,7 +36,7 @@ from tunesmith.operators.position import (
     with_position,
     with_shuffled_position,
 )
-from tunesmith.operators.scoring import parse_rewards, rejected_rewards, win_rate
+from tunesmith.operators.scoring import parse_rewards, rejected_rewards, reward_pairs, win_rate
 from tunesmith.operators.tokens import (
     build_vocab,
     encode,
@@ -303,6 +303,14 @@ def vocab_of(spark, text="a b c"):
     return build_vocab(spark.createDataFrame([(text,)], "text STRING"), 100)
 
 
+def test_encoding_by_join_is_the_same(spark):
+    vocab = build_vocab(spark.createDataFrame([("a b b c c c é",)], "text STRING"), None)
+    assert [r.tok for r in vocab.orderBy("id").collect()] == ["c", "b", "a", "é"]
+    segments = [[("<|im_start|>b zz", False), ("a <|im_end|>", True)], [(None, False), ("", True)], [], [("c " * 500, True)]]
+    df = spark.createDataFrame(list(enumerate(segments)), "id INT, segments ARRAY<STRUCT<text STRING, generated BOOLEAN>>")
+    assert rows(encode(df, vocab, by_join=True)) == rows(encode(df, vocab, by_join=False))
+
+
 @pytest.mark.parametrize("ids,gen,mask", [
     ([1, 5, 2, 1, 6, 2], [0, 0, 0, 0, 1, 0], [0, 0, 0, 0, 1, 1]),
     ([1, 5, 2, 1], [0, 0, 0, 0], [0, 0, 1, 0]),
@@ -479,6 +487,37 @@ def test_metric_stream_drops_late_and_holds_open(spark, tmp_path):
     assert rows(drain().select("n", "mean")) == [(1, 30.0), (2, 1.5)]
 
 
+def test_outside_scorer_is_called_once_per_pair(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def score(pairs):
+        def run(batches):
+            for frame in batches:
+                calls.add(len(frame))
+                yield frame.assign(reward=frame["response"].str.len().astype("float64"))
+
+        return pairs.mapInPandas(run, pairs.withColumn("reward", F.lit(0.0)).schema)
+
+    prompts = spark.createDataFrame([(i, f"p{i}", "g") for i in range(4)], "prompt_id BIGINT, prompt STRING, lang STRING")
+    a = spark.createDataFrame([(i, "aa") for i in range(4)], "prompt_id BIGINT, completion STRING")
+    b = spark.createDataFrame([(i, "b" * i) for i in range(3)], "prompt_id BIGINT, completion STRING")
+    pairs = reward_pairs(prompts, a, b, score)
+    got = sorted((r.prompt_id, r.lang, r.reward_a, r.reward_b) for r in pairs.collect())
+    assert got == [(0, "g", 2.0, 0.0), (1, "g", 2.0, 1.0), (2, "g", 2.0, 2.0), (3, "g", 2.0, None)]
+    assert win_rate(pairs).first().n_wins == 2
+    assert calls.value == 7
+
+
+def test_criteria_ride_with_the_means(spark):
+    means = spark.createDataFrame([(0, "A", [1.0, 0.0]), (1, "Z", [0.0, 1.0])], "ord INT, category STRING, vec ARRAY<DOUBLE>")
+    criteria = spark.createDataFrame([("A", "be A")], "category STRING, criterion STRING")
+    prompts = spark.createDataFrame([(0, "x", [2.0, 0.1])], "pos BIGINT, prompt STRING, embedding ARRAY<DOUBLE>")
+    assert rows(criteria_dataset(prompts, means, criteria)) == [(0, "x", "", "be A")]
+    lost = prompts.withColumn("embedding", F.array(F.lit(0.0), F.lit(1.0)))
+    with pytest.raises(Exception, match="no criterion for Z"):
+        criteria_dataset(lost, means, criteria).collect()
+
+
 def test_exact_keys_are_required(spark):
     df = spark.createDataFrame([("a", 0), ("b", 1)], "category STRING, pos BIGINT")
     criteria = spark.createDataFrame([("a", "be a")], "category STRING, criterion STRING")

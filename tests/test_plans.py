@@ -37,6 +37,17 @@ def test_encoding_does_not_shuffle_rows(spark):
     assert not any("Exchange" in line for line in outer)
 
 
+def test_criteria_do_not_shuffle_prompts(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(spark, "ct3_criteria_dataset")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    main = plan.split("Subquery")[0]
+    assert "Exchange" not in main and "Join" not in main
+
+
 def test_columns_are_pruned(spark):
     plan = plan_of(spark, "sel1_with_position")
     assert "ReadSchema: struct<doc_id:bigint,_range:int>" in plan and "text" not in plan

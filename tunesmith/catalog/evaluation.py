@@ -21,6 +21,7 @@ from tunesmith.operators.scoring import (
     rejected_rewards,
     win_rate,
 )
+from tunesmith.session import store
 
 ENTRIES: dict[str, Entry] = {}
 register = registrar(ENTRIES)
@@ -157,7 +158,7 @@ def ev4_evaluate_sample(spark, sf):
     rows = table(spark, sf, "documents").select(
         F.col("doc_id").alias("prompt_id"), F.col("text").alias("prompt")
     )
-    prompts = seeded_prompts(rows, "prompt_id", V.EVAL_SAMPLES, V.EVAL_SEED)
+    prompts = store(seeded_prompts(rows, "prompt_id", V.EVAL_SAMPLES, V.EVAL_SEED), "evaluation-prompts")
     return _rounded(
         evaluate(prompts, _completions(spark, sf, "a"), _completions(spark, sf, "b"), _length_reward)
     )

@@ -61,10 +61,11 @@ def exchange_cte(source: str = "conversations") -> str:
 VOCAB_SIZE = 2000
 
 
-def vocab_cte(source: str = "documents", size: int = VOCAB_SIZE) -> str:
+def vocab_cte(source: str = "documents", size: int | None = VOCAB_SIZE) -> str:
+    cut = f"ORDER BY n DESC, tok LIMIT {size}" if size else ""
     return f"""
     words AS (SELECT unnest(regexp_extract_all(text, '{WORDS}')) AS tok FROM {source}),
-    counted AS (SELECT tok, count(*) AS n FROM words GROUP BY tok ORDER BY n DESC, tok LIMIT {size}),
+    counted AS (SELECT tok, count(*) AS n FROM words GROUP BY tok {cut}),
     vocab AS (SELECT tok, n, row_number() OVER (ORDER BY n DESC, tok) + 3 AS id FROM counted)"""
 
 

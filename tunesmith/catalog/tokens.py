@@ -58,6 +58,11 @@ def tk1_build_vocab(spark, sf):
     return build_vocab(table(spark, sf, "documents"), VOCAB_SIZE)
 
 
+@register(f"WITH {vocab_cte(size=None)} SELECT tok, n, id::INT AS id FROM vocab")
+def tk1_build_vocab_of_all_words(spark, sf):
+    return build_vocab(table(spark, sf, "documents"), None)
+
+
 def _encoded_exchanges(spark, sf):
     chat = first_exchange(table(spark, sf, "conversations")).select(
         "conv_id", exchange(F.col("prompt"), F.col("completion")).alias("messages")
@@ -85,13 +90,23 @@ def _document_segments(spark, sf):
     )
 
 
-@register(
-    f"""WITH {vocab_cte()},
+def _documents_sql(size: int | None) -> str:
+    return f"""WITH {vocab_cte(size=size)},
         toks AS (SELECT doc_id, regexp_extract_all(text, '{TOKENS}') AS l FROM documents),
         flat AS (SELECT doc_id, unnest(l) AS tok, generate_subscripts(l, 1) AS i FROM toks)
         SELECT doc_id, count(*) AS n, string_agg(coalesce(id, 3)::VARCHAR, ',' ORDER BY i) AS ids
         FROM flat LEFT JOIN vocab USING (tok) GROUP BY doc_id"""
-)
+
+
+@register(_documents_sql(None))
+def tk2_encode_with_all_words(spark, sf):
+    """No word is unknown; the vocabulary is joined, as one of any size can be."""
+    vocab = store(build_vocab(table(spark, sf, "documents"), None), "vocabulary")
+    rows = encode(_document_segments(spark, sf), vocab, by_join=True)
+    return rows.select("doc_id", F.size("ids").cast("bigint").alias("n"), joined("ids").alias("ids"))
+
+
+@register(_documents_sql(VOCAB_SIZE))
 def tk2_encode_documents(spark, sf):
     rows = encode(_document_segments(spark, sf), vocabulary(spark, sf))
     return rows.select("doc_id", F.size("ids").cast("bigint").alias("n"), joined("ids").alias("ids"))

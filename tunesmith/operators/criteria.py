@@ -12,7 +12,7 @@ from tunesmith.exemplars import EXEMPLARS
 from tunesmith.fixed_values import CRITERIA
 from tunesmith.functions.text import revision_prompt, split_words
 from tunesmith.functions.vectors import dot, norm
-from tunesmith.operators.align import attach_criteria, zip_join
+from tunesmith.operators.align import zip_join
 from tunesmith.operators.chat import exchange
 from tunesmith.operators.position import head_n
 
@@ -99,10 +99,12 @@ def centroids(exemplars: DataFrame, vector: str = "embedding") -> DataFrame:
 
 
 def assign_nearest(
-    df: DataFrame, category_vectors: DataFrame, vector: str = "embedding"
+    df: DataFrame, category_vectors: DataFrame, vector: str = "embedding", carry: tuple[str, ...] = ()
 ) -> DataFrame:
     """Add ``category`` and ``similarity`` of the closest mean vector by cosine.
 
+    ``carry`` names further columns of ``category_vectors`` that the rows get, too.
+
     Equal similarities go to the lower ``ord``.  All means form one value
     (categories x dimensions numbers) that a subquery computes once; the rows
     themselves are neither exploded nor shuffled.
@@ -110,7 +112,7 @@ def assign_nearest(
     cols = df.columns
     table = category_vectors.agg(
         F.collect_list(
-            F.struct(F.col("ord").cast("int").alias("ord"), "category", "vec", norm(F.col("vec")).alias("len"))
+            F.struct(F.col("ord").cast("int").alias("ord"), "category", "vec", norm(F.col("vec")).alias("len"), *carry)
         ).alias("means")
     ).scalar()
     # the row's own length is the same for every mean: divided by once, at the end
@@ -123,6 +125,7 @@ def assign_nearest(
                 ),
                 (-m["ord"]).alias("rank"),
                 m["category"].alias("category"),
+                *[m[c].alias(c) for c in carry],
             ),
         )
     )
@@ -133,6 +136,7 @@ def assign_nearest(
         .select(
             *cols,
             F.col("_best.category").alias("category"),
+            *[F.col(f"_best.{c}").alias(c) for c in carry],
             F.coalesce(F.try_divide(F.col("_best.projection"), length), F.lit(0.0)).alias(
                 "similarity"
             ),
@@ -146,10 +150,20 @@ def criteria_dataset(
     criteria: DataFrame,
     vector: str = "embedding",
 ) -> DataFrame:
-    """``(pos, prompt, <vector>)`` -> records ``(pos, x, y, c)`` with an empty ``y``."""
-    assigned = assign_nearest(prompts, category_vectors, vector).select("pos", "prompt", "category")
-    return attach_criteria(assigned, criteria.select("category", "criterion")).select(
-        "pos", F.col("prompt").alias("x"), F.lit("").alias("y"), F.col("criterion").alias("c")
+    """``(pos, prompt, <vector>)`` -> records ``(pos, x, y, c)`` with an empty ``y``.
+
+    The criteria join the category means (a row per category), not the prompts: these are
+    neither joined nor shuffled, however few categories they fall into.  A prompt whose
+    category has no criterion fails the job.
+    """
+    means = category_vectors.join(criteria.select("category", "criterion"), "category", "left")
+    assigned = assign_nearest(prompts, means, vector, carry=("criterion",))
+    missing = F.raise_error(F.concat(F.lit("no criterion for "), F.col("category")))
+    return assigned.select(
+        "pos",
+        F.col("prompt").alias("x"),
+        F.lit("").alias("y"),
+        F.coalesce(F.col("criterion"), missing.cast("string")).alias("c"),
     )
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tunesmith.functions.text import last_number
+from tunesmith.session import store
 
 # from a list of (prompt, response) pairs to the raw reply texts
 Scorer = Callable[[list[tuple[str, str]]], list[str]]
@@ -83,20 +84,25 @@ def reward_pairs(
     """Attach and score both models' completions, one row per prompt.
 
     ``score`` gets rows with ``prompt`` and ``response`` and adds ``reward``: a
-    Column expression, or ``score_with`` followed by ``parse_rewards``.
-    """
-
-    def side(completions: DataFrame, reward: str) -> DataFrame:
-        pairs = prompts.join(completions.select(key, F.col("completion").alias("response")), key)
-        return score(pairs.select(key, "prompt", "response")).select(
-            key, F.col("reward").alias(reward)
-        )
+    Column expression, or ``score_with`` followed by ``parse_rewards``.  A model has one
+    completion per prompt at most.
 
-    return (
-        prompts.drop("prompt")
-        .join(side(completions_a, "reward_a"), key, "left")
-        .join(side(completions_b, "reward_b"), key, "left")
+    Both sides meet the prompts in one join and are scored in one pass, and the rewards
+    are stored, so that a retry further down never calls an outside scorer again.
+    """
+    sides = [
+        made.select(key, F.col("completion").alias("response"), F.lit(side).alias("side"))
+        for side, made in (("a", completions_a), ("b", completions_b))
+    ]
+    pairs = prompts.select(key, "prompt").join(sides[0].unionByName(sides[1]), key)
+    # one column, so that a scorer need not know of more than the pair
+    known = pairs.select(F.struct(key, "side").alias("of"), "prompt", "response")
+    scored = store(score(known).select("of", "reward"), "rewards")
+    reward = lambda side: F.max(F.when(F.col("of.side") == side, F.col("reward")))
+    both = scored.groupBy(F.col(f"of.{key}").alias(key)).agg(
+        reward("a").alias("reward_a"), reward("b").alias("reward_b")
     )
+    return prompts.drop("prompt").join(both, key, "left")
 
 
 def evaluate(

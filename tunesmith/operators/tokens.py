@@ -34,30 +34,46 @@ from tunesmith.functions.tokenrows import (
     padded_ids,
 )
 from tunesmith.operators.chat import exchange, first_exchange, render_chat, valid_preferences
+from tunesmith.operators.position import with_position
+from tunesmith.session import store
 
 SPECIAL_IDS = {PAD: PAD_ID, START: START_ID, END: END_ID}
 SLOTS = 8192
+#: Largest vocabulary that is sent to the tasks as one value (Spark's estimate of it).
+VALUE_BYTES = 64 << 20
+ROW_SLOTS = 256
 
 
-def build_vocab(df: DataFrame, size: int, text: str = "text") -> DataFrame:
-    """The ``size`` most frequent words -> ``(tok, n, id)``.
+def build_vocab(df: DataFrame, size: int | None, text: str = "text") -> DataFrame:
+    """The ``size`` most frequent words -> ``(tok, n, id)``; all words for ``None``.
 
     Ties go by spelling.  The count is combined map-side, the cut is a bounded
-    top-k, and only its ``size`` rows are numbered.
+    top-k, and only its ``size`` rows are numbered; all words are numbered in ranges.
     """
     words = df.select(F.explode(split_words(F.col(text))).alias("tok"))
-    top = (
-        words.groupBy("tok")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .orderBy(F.desc("n"), "tok")
-        .limit(size)
-    )
+    counted = words.groupBy("tok").agg(F.count(F.lit(1)).alias("n"))
+    if size is None:
+        ranked = with_position(counted.select("tok", (-F.col("n")).alias("less")), "tok", "less")
+        number = (F.col("pos") + FIRST_WORD_ID).cast("int")
+        return ranked.select("tok", (-F.col("less")).alias("n"), number.alias("id"))
+    top = counted.orderBy(F.desc("n"), "tok").limit(size)
     rank = F.row_number().over(W.orderBy(F.desc("n"), "tok"))
     return top.withColumn("id", (rank + (FIRST_WORD_ID - 1)).cast("int"))
 
 
-def _slot(tok: Column) -> Column:
-    return F.pmod(F.hash(tok), F.lit(SLOTS))
+def _slot(tok: Column, slots: int = SLOTS) -> Column:
+    return F.pmod(F.hash(tok), F.lit(slots))
+
+
+def _with_specials(vocab: DataFrame) -> DataFrame:
+    specials = vocab.sparkSession.createDataFrame(list(SPECIAL_IDS.items()), "tok STRING, id INT")
+    return vocab.select("tok", "id").unionByName(specials)
+
+
+def _fits_value(vocab: DataFrame) -> bool:
+    """Whether Spark's estimate of the vocabulary's size is below ``VALUE_BYTES``."""
+    plan = vocab._jdf.queryExecution().optimizedPlan()
+    return int(str(plan.stats().sizeInBytes())) <= VALUE_BYTES
 
 
 def _lookup_table(vocab: DataFrame) -> Column:
@@ -66,9 +82,7 @@ def _lookup_table(vocab: DataFrame) -> Column:
     Maps are searched from front to back; with a few words per slot that is cheap.
     """
     spark = vocab.sparkSession
-    specials = spark.createDataFrame(list(SPECIAL_IDS.items()), "tok STRING, id INT")
-    words = vocab.select("tok", "id").unionByName(specials)
-    filled = words.groupBy(_slot(F.col("tok")).cast("bigint").alias("slot")).agg(
+    filled = _with_specials(vocab).groupBy(_slot(F.col("tok")).cast("bigint").alias("slot")).agg(
         F.collect_list(F.struct("tok", "id")).alias("words")
     )
     return (
@@ -80,40 +94,72 @@ def _lookup_table(vocab: DataFrame) -> Column:
     )
 
 
-def _word_id(tok: Column, slots: Column) -> Column:
+def _word_id(tok: Column, slots: Column, n: int) -> Column:
     return F.coalesce(
-        F.try_element_at(F.element_at(slots, _slot(tok) + 1), tok), F.lit(UNKNOWN_ID)
+        F.try_element_at(F.element_at(slots, _slot(tok, n) + 1), tok), F.lit(UNKNOWN_ID)
     )
 
 
 def encode(
-    df: DataFrame, vocab: DataFrame, segments: str = "segments", drop_segments: bool = True
+    df: DataFrame,
+    vocab: DataFrame,
+    segments: str = "segments",
+    drop_segments: bool = True,
+    by_join: bool | None = None,
 ) -> DataFrame:
     """Add ``ids`` and ``generated`` (both ``ARRAY<INT>``) for rendered segments.
 
-    No token crosses a segment border.  Unknown words get the unknown id.  The
-    vocabulary (bounded by its size argument) is one subquery value, so a corpus
-    is encoded where it lies: no token rows, no join, no shuffle.
+    No token crosses a segment border.  Unknown words get the unknown id.  A vocabulary
+    of bounded size is one subquery value, so a corpus is encoded where it lies: no token
+    rows, no join, no shuffle.  A larger one is joined to the distinct words of each row,
+    and the row is encoded with the ids of its own words.  The result is the same;
+    ``by_join`` overrides the choice by size.
     """
     cols = [c for c in df.columns if not (drop_segments and c == segments)]
+    rows = df.select(*df.columns, F.col(f"{segments}.generated").alias("_flags"))
+    if by_join or (by_join is None and not _fits_value(vocab)):
+        rows, slots = _with_row_slots(rows, vocab, segments), ROW_SLOTS
+    else:
+        # Every column is used once above the line that adds the vocabulary.  Only then
+        # do the projections merge and the value stays a reference inside the lambda;
+        # otherwise it would be copied into each row.
+        rows, slots = rows.withColumn("_slots", _lookup_table(vocab)), SLOTS
     per_segment = F.transform(
         segments,
-        lambda s: F.transform(
-            split_tokens(F.coalesce(s["text"], F.lit(""))), lambda t: _word_id(t, F.col("_slots"))
-        ),
+        lambda s: F.transform(_tokens(s), lambda t: _word_id(t, F.col("_slots"), slots)),
     )
     flags = F.zip_with(
         "_nested", "_flags", lambda ids, g: F.array_repeat(g.cast("int"), F.size(ids))
     )
-    # Every column is used once above the line that adds the vocabulary.  Only then
-    # do the projections merge and the value stays a reference inside the lambda;
-    # otherwise it would be copied into each row.
-    return (
-        df.select(*df.columns, F.col(f"{segments}.generated").alias("_flags"))
-        .withColumn("_slots", _lookup_table(vocab))
-        .select(*cols, per_segment.alias("_nested"), "_flags")
-        .select(*cols, F.flatten("_nested").alias("ids"), F.flatten(flags).alias("generated"))
+    return rows.select(*cols, per_segment.alias("_nested"), "_flags").select(
+        *cols, F.flatten("_nested").alias("ids"), F.flatten(flags).alias("generated")
+    )
+
+
+def _tokens(segment: Column) -> Column:
+    return split_tokens(F.coalesce(segment["text"], F.lit("")))
+
+
+def _with_row_slots(df: DataFrame, vocab: DataFrame, segments: str) -> DataFrame:
+    """Each row with the ids of its own words: ``_slots``, as ``ROW_SLOTS`` maps.
+
+    A word in very many rows is split by Spark's skew join; ids come back per row, in
+    groups bounded by the row's own words.
+    """
+    rows = store(df.withColumn("_row", F.monotonically_increasing_id()), "segments")
+    own = F.array_distinct(F.flatten(F.transform(segments, _tokens)))
+    words = rows.select("_row", F.explode(own).alias("tok"))
+    found = words.join(_with_specials(vocab), "tok")
+    slot = _slot(F.col("tok"), ROW_SLOTS).alias("slot")
+    maps = found.groupBy("_row", slot).agg(
+        F.map_from_entries(F.collect_list(F.struct("tok", "id"))).alias("words")
+    )
+    empty = F.expr("map_from_arrays(CAST(array() AS ARRAY<STRING>), CAST(array() AS ARRAY<INT>))")
+    filled = maps.groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("slot", "words"))).alias("m"))
+    every = F.transform(
+        F.sequence(F.lit(0), F.lit(ROW_SLOTS - 1)), lambda i: F.coalesce(F.try_element_at("m", i), empty)
     )
+    return rows.join(filled.select("_row", every.alias("_slots")), "_row", "left").drop("_row")
 
 
 Tokenizer = Callable[[list[str]], list[list[int]]]
