@@ -9,11 +9,14 @@ from stand_ins import echo_generator, length_scorer, letter_embedder
 from tunesmith.operators.inference import PROFILES
 from tunesmith.operators.scoring import parse_rewards, score_with
 from tunesmith.operators.tokens import build_vocab
+from tunesmith.operators.batches import Stage
 from tunesmith.plans import (
+    StageFiles,
     compare_models,
     make_initial_responses,
     prepare_criteria,
     preference_split,
+    revision_curriculum,
     revision_stage,
     sft_split,
 )
@@ -62,6 +65,31 @@ def test_revision_stage(spark, tmp_path):
     assert sorted(tuple(r) for r in sizes.collect()) == [(0, 3), (1, 3)]
 
 
+def test_revision_curriculum(spark, tmp_path):
+    files = {}
+    for name, n in (("short", 5), ("med", 3), ("long", 1)):
+        paths = arrays(tmp_path, **{f"{name}-records": [{"x": f"q{i}", "y": "", "c": "c"} for i in range(n)],
+                                    f"{name}-first": [f"r{i}" for i in range(n)], f"{name}-rev": ["new"] * n})
+        files[name] = StageFiles(paths[f"{name}-records"], paths[f"{name}-first"], [paths[f"{name}-rev"]])
+    vocab = build_vocab(spark.createDataFrame([("new",)], "text STRING"), 10)
+    prompts = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "pos BIGINT, prompt STRING")
+    replies = spark.createDataFrame([(0, "x"), (1, "y")], "pos BIGINT, completion STRING")
+    run = [Stage("short", 2), Stage("med", 1), Stage("long", 3)]
+    paths = revision_curriculum(spark, files, vocab, 2, str(tmp_path / "run"), (prompts, replies), run)
+    plan = spark.read.parquet(paths["plan"])
+    # batches: 2 x 3, 1 x 2, 3 x 1
+    assert sorted(r.global_batch for r in plan.select("global_batch").distinct().collect()) == list(range(11))
+    assert [r.stage for r in plan.groupBy("stage").agg(F.min("global_batch").alias("b")).orderBy("b").collect()] == ["short", "med", "long"]
+    for name, n, epochs in (("short", 5, 2), ("med", 3, 1), ("long", 1, 3)):
+        rows = spark.read.parquet(paths[f"examples/{name}"])
+        assert rows.where("valid").count() == n
+        used = plan.where(F.col("stage") == name).drop("pos").join(rows, F.col("example") == F.col("pos"))
+        assert used.count() == n * epochs
+    assert sorted(r.pos for r in spark.read.parquet(paths["validation"]).collect()) == [0, 1]
+    with pytest.raises(ValueError, match="long"):
+        revision_curriculum(spark, {"short": files["short"], "med": files["med"]}, vocab, 2, str(tmp_path / "no"), run=run)
+
+
 def test_positional_splits_of_token_rows(spark):
     turns = spark.createDataFrame(
         [(c, i, r, f"{r} {c}") for c in range(10, 16) for i, r in enumerate(("user", "assistant"))],

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tunesmith.catalog.registry import Entry, registrar, table
-from tunesmith.operators.metrics import epoch_points, epoch_summary, running_loss, stage_summary
+from tunesmith.operators.metrics import epoch_points, epoch_summary, running_loss, running_points, stage_summary
 from tunesmith.operators.position import with_position
 from tunesmith.session import new_folder
 from tunesmith.streaming import metric_windows, read_metric_stream, run_available
@@ -67,6 +67,14 @@ def mt1_running_loss_every_batch(spark, sf):
     return _rounded_series(running_loss(_loss_log(spark, sf), "seen", chunk=4))
 
 
+@register(
+    f"""SELECT run_id, 'Loss/train' AS tag, step, avg_loss AS value
+        FROM ({_running_sql('(i + 1)', 'i % 10 = 0 AND i <> 0')})"""
+)
+def mt1_running_points(spark, sf):
+    return running_points(_rounded_series(running_loss(_loss_log(spark, sf), "seen", every=10)))
+
+
 def _phase_log(spark, sf):
     return table(spark, sf, "events").select(
         F.col("user_id").alias("run_id"),

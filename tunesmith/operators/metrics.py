@@ -71,6 +71,14 @@ def running_loss(
     return series.where(emitted).drop("one")
 
 
+def running_points(series: DataFrame) -> DataFrame:
+    """A running loss as metric points ``(run_id, tag, step, value)``."""
+    return series.select(
+        "run_id", F.lit("Loss/train").alias("tag"), F.col("step").cast("bigint").alias("step"),
+        F.col("avg_loss").alias("value"),
+    )
+
+
 def epoch_summary(log: DataFrame, denom: str = "loader", skip_nan: bool = False) -> DataFrame:
     """``(run_id, epoch, phase, loss, used)`` -> mean loss per epoch and phase.
 

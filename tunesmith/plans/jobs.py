@@ -7,14 +7,15 @@ further down never calls the model again.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tunesmith import fixed_values as V
 from tunesmith.functions.text import clean_completion
-from tunesmith.operators.align import fill_completions, missing_completions
-from tunesmith.operators.batches import epoch_plan
+from tunesmith.operators.align import fill_completions, missing_completions, zip_join
+from tunesmith.operators.batches import Stage, curriculum_plan, epoch_plan, stages
 from tunesmith.operators.criteria import (
     centroids,
     criteria_dataset,
@@ -63,6 +64,15 @@ def make_initial_responses(
     write_records(initial_responses(splits, loader), out, split="split")
 
 
+@dataclass(frozen=True)
+class StageFiles:
+    """Inputs of one stage: records, first replies, and shards of revisions in order."""
+
+    records: str
+    first_replies: str
+    revisions: Sequence[str]
+
+
 def revision_stage(
     spark: SparkSession,
     records: str,
@@ -80,19 +90,65 @@ def revision_stage(
     Returns the paths of the two tables (``examples``, ``plan``); ``example`` in the
     plan is ``pos`` of the examples.
     """
-    pairs = revision_dataset(
-        read_records(spark, records, max_samples),
-        read_completions(spark, first_replies),
-        append_shards([read_completions(spark, p) for p in revisions]),
-        max_samples,
-    )
     examples, plan = f"{out}/examples", f"{out}/plan"
-    revision_examples(pairs, vocab).write.parquet(examples)
-    ids = spark.read.parquet(examples).select(F.col("pos").alias("example"))
+    files = StageFiles(records, first_replies, revisions)
+    ids = _write_examples(spark, files, vocab, max_samples, examples)
     epoch_plan(ids, "example", epochs, batch_size, seed).write.partitionBy("epoch").parquet(plan)
     return examples, plan
 
 
+def revision_curriculum(
+    spark: SparkSession,
+    files: Mapping[str, StageFiles],
+    vocab: DataFrame,
+    batch_size: int,
+    out: str,
+    validation: tuple[DataFrame, DataFrame] | None = None,
+    run: Sequence[Stage] | None = None,
+    max_samples: int | None = None,
+    seed: int = 0,
+) -> dict[str, str]:
+    """All stages of revision training, one after another, and their validation rows.
+
+    ``files`` names the inputs of every stage in ``run`` (all built-in stages if not
+    given).  ``validation`` is ``(pos, prompt)`` and ``(pos, completion)``, cut to the
+    shorter side; its rows are the same for every stage and keep their order.
+
+    Returns the paths of the tables: ``plan`` (``curriculum_plan``; ``example`` is ``pos``
+    of the stage's examples), ``validation`` if there is one, and the examples of each
+    stage under ``examples/<name>``.
+    """
+    run = list(run or stages())
+    missing = [s.name for s in run if s.name not in files]
+    if missing:
+        raise ValueError(f"no files for stages: {', '.join(missing)}")
+    paths, keys = {"plan": f"{out}/plan"}, {}
+    for stage in run:
+        path = paths[f"examples/{stage.name}"] = f"{out}/examples/{stage.name}"
+        keys[stage.name] = _write_examples(spark, files[stage.name], vocab, max_samples, path)
+    plan = curriculum_plan(keys, "example", batch_size, run, seed)
+    plan.write.partitionBy("stage_ord", "epoch").parquet(paths["plan"])
+    if validation is not None:
+        paths["validation"] = f"{out}/validation"
+        pairs = zip_join(validation[0].select("pos", "prompt"), validation[1].select("pos", "completion"))
+        revision_examples(pairs, vocab).write.parquet(paths["validation"])
+    return paths
+
+
+def _write_examples(
+    spark: SparkSession, files: StageFiles, vocab: DataFrame, max_samples: int | None, path: str
+) -> DataFrame:
+    """Writes the token rows of a stage; gives their positions as ``example``."""
+    pairs = revision_dataset(
+        read_records(spark, files.records, max_samples),
+        read_completions(spark, files.first_replies),
+        append_shards([read_completions(spark, p) for p in files.revisions]),
+        max_samples,
+    )
+    revision_examples(pairs, vocab).write.parquet(path)
+    return spark.read.parquet(path).select(F.col("pos").alias("example"))
+
+
 def sft_split(
     turns: DataFrame, vocab: DataFrame, bounds: Mapping = V.SFT_BOUNDS
 ) -> dict[str, DataFrame]:
