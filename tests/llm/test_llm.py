@@ -9,7 +9,7 @@ import math
 import random
 import re
 import zlib
-from urllib.parse import quote
+from urllib.parse import quote, quote_plus
 
 import duckdb
 import numpy as np
@@ -257,6 +257,23 @@ def test_secret_layers():
     assert "[SECRET] " in (left := secrets.redact(f"{coded} {coded}", [{"start": a, "end": b} for _, a, b, _ in secrets.scan(f"{coded} {coded}")[1]])) and coded not in left
 
 
+def test_secret_streams():
+    plain = b"x password=hunter2hunter2 y"
+    packed, rng = gzip.compress(plain, mtime=0), random.Random(5)
+    deep = packed
+    for _ in range(3):
+        deep = gzip.compress(zlib.compress(deep), mtime=0)
+    escaped = lambda raw: "".join(f"\\x{c:02x}" for c in raw)
+    members = gzip.compress(bytes(rng.randrange(256) for _ in range(40_000)), mtime=0) + gzip.compress(b"", mtime=0) + packed
+    for raw in (gzip.compress(packed), zlib.compress(packed), deep, packed + gzip.compress(b"y" * 50), members, b"\x00\xff head" + packed + b"tail", packed[:-5], zlib.compress(plain)):
+        for coded in (base64.b64encode(raw).decode(), raw.hex().upper(), quote(raw, safe=""), "".join(f"%{c:02x}" for c in raw), quote_plus(raw),
+                      escaped(raw), repr(raw)[2:-1], "".join(f"\\u{c:04x}" for c in raw), "".join(f"&#{c};" for c in raw), quote(escaped(raw))):
+            text = f"é {coded} é"
+            assert [(2 <= a < b <= len(text) - 2) for k, a, b, w in secrets.scan(text)[1] if k == "assign" and "z" in w], (raw[:20], coded[:40])
+    split = gzip.compress(b"one password=hunt", mtime=0) + gzip.compress(b"er2hunter2 two", mtime=0)  # a member ends anywhere
+    assert [f for f in secrets.scan(base64.b64encode(split).decode())[1] if f[0] == "assign"]
+
+
 def base_findings(text):
     rules = {"assign": (r"(?i:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", lambda m: len(m[2]) >= 8),
              "access": ("AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 16), "hex": ("[0-9a-f]+", lambda m: len(m[0]) >= 32)}

@@ -1,22 +1,24 @@
 """Secret scan with a recursive decoding worklist.
 
 Three kinds of secrets are looked for in a text and in every layer that can be decoded
-from it: URL escapes, Unicode and hexadecimal escapes, base64, and gzip or zlib streams
-inside base64.  Decoded layers go on a worklist and are scanned and decoded in turn until
-nothing new appears; a layer that was seen before (same text from the same stretch) is not
-read again, so layers that decode to each other end, and a secret that is encoded alike in
-several places is found in each of them.  Every character of a layer knows the stretch of
-the original text that it came from, and a finding is reported as that stretch.
+from it: URL escapes, Unicode and hexadecimal escapes, base64, hex text, and gzip or zlib
+streams.  Layers are texts or bytes; both go on a worklist and are scanned and decoded in
+turn until nothing new appears; a layer that was seen before (same content from the same
+stretch) is not read again, so layers that decode to each other end, and a secret that is
+encoded alike in several places is found in each of them.  Every character of a layer knows
+the stretch of the original text that it came from, and a finding is reported as that
+stretch.
+
+Streams are looked for at every byte of a layer, one behind the other, whatever they were wrapped in.  Bytes
+that are no text stay in a layer as single characters, the text around them is read.
 
 Defined results: null and empty texts hold nothing; texts are read whole; repeated texts
-get the same result; stretches that cannot be decoded to text are left as they are; a
-stream that would expand to more than ``EXPANSION`` bytes for each of its own (or not to
-text) is not followed, so a layer is never larger than that multiple of its source.
+get the same result; streams inside streams are all followed (what they expand to is not
+limited in all); of a damaged gzip stream the part before the damage is read.
 """
 
 from __future__ import annotations
 
-import base64
 import binascii
 import re
 import zlib
@@ -27,8 +29,8 @@ from pyspark.sql import functions as F
 from tunesmith.llm.common import add_columns, prepare
 
 KINDS = ("assign", "access", "hex")
-#: Largest growth of one compressed stream that is followed (deflate itself ends at 1032).
-EXPANSION = 1100
+#: Bytes at once while a stream is expanded.
+CHUNK = 1 << 14
 
 ASSIGN = re.compile(r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -38,8 +40,21 @@ KEYWORDS = ("passw", "secret", "token", "apikey", "api_key")
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|&#x[0-9A-Fa-f]{1,6};|&#[0-9]{1,7};)+")
 ESCAPE_PART = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
-BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
-HEX_TEXT = re.compile(r"(?:[0-9a-f]{2}){16,}|(?:[0-9A-F]{2}){16,}")
+#: Escapes of one sign, which stand between the others in the source form of byte strings.
+SIGN = re.compile(r"\\(?:[abefnrtv\\'\"/]|[0-7]{1,3})")
+SIGNS = dict(zip("abefnrtv", b"\a\b\x1b\f\n\r\t\v"))
+BYTE_PART = re.compile(ESCAPE_PART.pattern + "|" + r"\\([abefnrtv\\'\"/])|\\([0-7]{1,3})")
+BYTES = re.compile(f"(?:{BYTE_PART.pattern})+")
+BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}")
+URL_SAFE = str.maketrans("-_", "+/")
+HEX_TEXT = re.compile(r"[0-9A-Fa-f]{32,}")
+#: No finding, and nothing that decodes to one, is shorter than 14 such bytes in a row.
+WORTH = re.compile(rb"[\t\n\f\r\x1b\x20-\x7e]{14,}")
+UNREAD = re.compile("[^\t\n\f\r\x1b\x20-\x7e]")
+#: What a stream begins with: gzip's magic bytes, or a zlib head without dictionary.
+STREAM = re.compile(b"\x1f\x8b\x08|" + b"|".join(
+    re.escape(bytes((a, b))) for a in range(8, 128, 16) for b in range(256) if (a << 8 | b) % 31 == 0 and not b & 32
+), re.S)
 
 ADDED = (
     "base array<struct<kind: string, start: bigint, end: bigint>>, "
@@ -60,7 +75,8 @@ def matches(text: str) -> list[tuple[str, int, int]]:
 
 
 class Layer:
-    """A text and, for each of its characters, where it starts and ends in the original."""
+    """A text or bytes and, for each character or byte, where it starts and ends in the
+    original.  Bytes that are no UTF-8 are lone surrogates in a text."""
 
     __slots__ = ("text", "starts", "ends", "way")
 
@@ -68,25 +84,62 @@ class Layer:
         self.text, self.starts, self.ends, self.way = text, starts, ends, way
 
 
-def _readable(raw: bytes) -> str | None:
-    """The text of decoded bytes, if they are one."""
-    try:
-        text = raw.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    if not text or any(c < " " and c not in "\t\r\n\f\x1b" or c == "\x7f" for c in text):
-        return None
-    return text
+class _Same:
+    """One place for all characters of a layer."""
+
+    __slots__ = ("at", "n")
+
+    def __init__(self, at, n):
+        self.at, self.n = at, n
+
+    def __len__(self):
+        return self.n
+
+    def __getitem__(self, i):
+        return [self.at] * len(range(*i.indices(self.n))) if isinstance(i, slice) else self.at
+
+
+def _text(raw: bytes) -> tuple[str, list[int] | None]:
+    """Bytes as a text, and the first byte of each character (None: each is one byte)."""
+    if raw.isascii():
+        return raw.decode("ascii"), None
+    text = raw.decode("utf-8", "surrogateescape")
+    at, offsets = 0, []
+    for c in text:
+        offsets.append(at)
+        at += 1 if c < "\x80" or "\udc80" <= c <= "\udcff" else len(c.encode())
+    return text, [*offsets, at]
+
+
+def _readable(layer: Layer) -> Layer:
+    """A layer of bytes as a text."""
+    text, offsets = _text(layer.text)
+    if offsets is None or isinstance(layer.starts, _Same):
+        return Layer(text, _cut(layer.starts, len(text)), _cut(layer.ends, len(text)), layer.way)
+    starts = [layer.starts[a] for a in offsets[:-1]]
+    return Layer(text, starts, [layer.ends[b - 1] for b in offsets[1:]], layer.way)
+
+
+def _cut(places, n: int):
+    return _Same(places.at, n) if isinstance(places, _Same) else places
+
+
+def _bytes(layer: Layer, points: bool = False) -> Layer:
+    """A layer of text as bytes.  ``points``: characters up to 255 are bytes themselves."""
+    parts, starts, ends = [], [], []
+    for c, start, end in zip(layer.text, layer.starts, layer.ends):
+        raw = bytes((ord(c),)) if points and c <= "\xff" else c.encode("utf-8", "surrogateescape")
+        parts.append(raw)
+        starts += [start] * len(raw)
+        ends += [end] * len(raw)
+    return Layer(b"".join(parts), starts, ends, layer.way)
 
 
 def _unescape(layer: Layer, pattern: re.Pattern, decode, way: str) -> Layer | None:
     """The layer with all stretches of a pattern decoded in place."""
     text, parts, starts, ends, done = layer.text, [], [], [], 0
     for m in pattern.finditer(text):
-        new = decode(m.group())
-        if new is None:
-            continue
-        chars, spans = new
+        chars, spans = decode(m.group())
         parts += [text[done : m.start()], chars]
         starts += layer.starts[done : m.start()] if layer.starts else range(done, m.start())
         ends += layer.ends[done : m.start()] if layer.ends else range(done + 1, m.start() + 1)
@@ -103,119 +156,138 @@ def _unescape(layer: Layer, pattern: re.Pattern, decode, way: str) -> Layer | No
 
 
 def _percent(run: str):
-    raw = bytes.fromhex(run.replace("%", ""))
-    text = _readable(raw)
-    if text is None:
-        return None
-    spans, at = [], 0
-    for c in text:
-        n = len(c.encode())
-        spans.append((3 * at, 3 * (at + n)))
-        at += n
-    return text, spans
+    text, offsets = _text(bytes.fromhex(run.replace("%", "")))
+    offsets = offsets or range(len(text) + 1)
+    return text, [(3 * a, 3 * b) for a, b in zip(offsets[:-1], offsets[1:])]
 
 
 def _escapes(run: str):
     units = []
-    for m in ESCAPE_PART.finditer(run):
-        code = int(m[1] or m[2] or m[3], 16) if not m[4] else int(m[4])
-        if code > 0x10FFFF:
-            return None
-        units.append((code, m.start(), m.end(), bool(m[2])))
-    if all(u[3] for u in units) and any(u[0] > 127 for u in units):  # bytes of UTF-8
-        text = _readable(bytes(u[0] for u in units))
-        if text is not None:
-            spans, at = [], 0
-            for c in text:
-                n = len(c.encode())
-                spans.append((units[at][1], units[at + n - 1][2]))
-                at += n
-            return text, spans
+    for m in BYTE_PART.finditer(run):
+        code = int(m[1] or m[2] or m[3], 16) if m[1] or m[2] or m[3] else int(m[4]) if m[4] else int(m[6], 8) & 255 if m[6] else SIGNS.get(m[5], ord(m[5]))
+        units.append((code, m.start(), m.end(), bool(m[2] or m[5] or m[6])))
+    if all(u[3] for u in units) and any(u[0] > 127 for u in units):  # bytes, of UTF-8 or not
+        text, offsets = _text(bytes(u[0] for u in units))
+        return text, [(units[a][1], units[b - 1][2]) for a, b in zip(offsets[:-1], offsets[1:])]
     chars, spans, i = [], [], 0
     while i < len(units):
         code, a, b, _ = units[i]
         if 0xD800 <= code < 0xDC00 and i + 1 < len(units) and 0xDC00 <= units[i + 1][0] < 0xE000:
             code, b = 0x10000 + (code - 0xD800) * 1024 + units[i + 1][0] - 0xDC00, units[i + 1][2]
             i += 1
-        if 0xD800 <= code < 0xE000:
-            return None
-        chars.append(chr(code))
+        chars.append("�" if 0xD800 <= code < 0xE000 or code > 0x10FFFF else chr(code))
         spans.append((a, b))
         i += 1
     return "".join(chars), spans
 
 
-def _inflate(raw: bytes) -> bytes | None:
-    if raw[:2] == b"\x1f\x8b":
-        width = 31
-    elif len(raw) > 2 and raw[0] & 15 == 8 and (raw[0] << 8 | raw[1]) % 31 == 0:
-        width = 15
-    else:
-        return None
-    limit = EXPANSION * len(raw)
+def _inflate(raw: bytes, at: int) -> tuple[int, bytes] | None:
+    """End and content of the stream that starts at ``at``."""
+    packed = raw[at] == 0x1F
+    work, out, to = zlib.decompressobj(31 if packed else 15), [], at
     try:
-        work = zlib.decompressobj(width)
-        out = work.decompress(raw, limit)
-        return out if work.eof else None
+        while not work.eof and to < len(raw):
+            part, before = raw[to : to + CHUNK], work.copy() if packed else None
+            out.append(work.decompress(part))
+            to += len(part)
     except zlib.error:
-        return None
-
-
-def _stretches(layer: Layer, pattern: re.Pattern, decode, way: str):
-    """One new layer for every stretch of a pattern that decodes to text."""
-    for m in pattern.finditer(layer.text):
-        raw = decode(m.group())
-        if raw is None:
-            continue
-        a, b = m.span()
-        start = layer.starts[a] if layer.starts else a
-        end = layer.ends[b - 1] if layer.ends else b
-        packed = _inflate(raw)
-        text = _readable(packed if packed is not None else raw)
-        if text is None:
-            continue
-        n = len(text)
-        if packed is not None:
-            yield Layer(text, [start] * n, [end] * n, layer.way + way + "z")
+        if not packed:
+            return None
+        try:  # what comes before the damage
+            for i in range(len(part)):
+                out.append(before.decompress(part[i : i + 1]))
+        except zlib.error:
+            return (at + 3, b"".join(out))
+    if work.eof:
+        return to - len(work.unused_data), b"".join(out)
+    return (at + 3, b"".join(out)) if packed else None
+
+
+def _streams(layer: Layer):
+    """A layer of bytes for every stream inside a layer of bytes; streams that follow each
+    other are one."""
+    raw, at, out, start, end = layer.text, 0, [], 0, 0
+
+    def whole():
+        content = b"".join(out)
+        if content:
+            n = len(content)
+            yield Layer(content, _Same(layer.starts[start], n), _Same(layer.ends[end - 1], n), layer.way + "z")
+
+    while m := STREAM.search(raw, at):
+        found = _inflate(raw, m.start())
+        if found is None:
+            at = m.start() + 1
             continue
-        # the characters of the stretch that each decoded character came from
-        size, starts, ends, at = len(m.group()), [], [], 0
-        per = 4 / 3 if way == "b" else 2
-        for c in text:
-            width = len(c.encode())
-            x, y = a + int(at * per), min(a + size, a + int(-(-(at + width) * per // 1)))
-            starts.append(layer.starts[x] if layer.starts else x)
-            ends.append(layer.ends[y - 1] if layer.ends else y)
-            at += width
-        yield Layer(text, starts, ends, layer.way + way)
-
-
-def _base64(run: str) -> bytes | None:
-    body = run.rstrip("=")
-    if ("-" in body or "_" in body) and ("+" in body or "/" in body) or len(body) % 4 == 1:
-        return None
-    try:
-        return base64.b64decode(body.replace("-", "+").replace("_", "/") + "=" * (-len(body) % 4), validate=True)
-    except (binascii.Error, ValueError):
-        return None
-
-
-def _hex(run: str) -> bytes | None:
-    return bytes.fromhex(run)
+        if m.start() != end:
+            yield from whole()
+            out, start = [], m.start()
+        out.append(found[1])
+        at = end = found[0]
+    yield from whole()
+
+
+def _stretches(layer: Layer):
+    """``(characters, their places in the layer)`` of every run of base64 characters."""
+    for m in BASE64.finditer(layer.text):
+        yield m.group(), range(*m.span())
+
+
+def _decoded(layer: Layer, places, first: list[int], last: list[int], raw: bytes, way: str):
+    """Bytes of which number i came from the characters ``first[i]`` to ``last[i]``."""
+    if not WORTH.search(raw) and not STREAM.search(raw):
+        return
+    starts = [places[i] for i in first]
+    ends = [places[i] for i in last]
+    starts = [layer.starts[i] for i in starts] if layer.starts else starts
+    ends = [layer.ends[i] for i in ends] if layer.ends else [i + 1 for i in ends]
+    yield Layer(raw, starts, ends, layer.way + way)
+
+
+def _unpacked(layer: Layer):
+    """Layers of bytes from base64 and hex text."""
+    for run, places in _stretches(layer):
+        body = run.translate(URL_SAFE)
+        for k in (0,):
+            part = body[k : len(body) - ((len(body) - k) % 4 == 1)]
+            raw = binascii.a2b_base64(part + "=" * (-len(part) % 4))
+            n = range(len(raw))
+            yield from _decoded(layer, places, [k + 8 * j // 6 for j in n], [k + (8 * j + 7) // 6 for j in n], raw, "b")
+        for m in HEX_TEXT.finditer(run):
+            for k in (m.start(),):
+                raw = bytes.fromhex(run[k : m.end() - (m.end() - k) % 2])
+                n = range(len(raw))
+                yield from _decoded(layer, places, [k + 2 * j for j in n], [k + 2 * j + 1 for j in n], raw, "h")
+
+
+def _unescaped(layer: Layer):
+    """Layers with the escapes decoded, as text and, if they hold more than text, as bytes."""
+    done = []
+    if "%" in layer.text:
+        done.append(_unescape(layer, PERCENT, _percent, "u"))
+        if done[0] and "+" in layer.text and UNREAD.search(done[0].text):  # bytes of a form: plus is a space
+            done.append(_unescape(Layer(layer.text.replace("+", " "), layer.starts, layer.ends, layer.way), PERCENT, _percent, "u"))
+    if "\\u" in layer.text or "\\x" in layer.text or "&#" in layer.text:
+        done.append(_unescape(layer, ESCAPE, _escapes, "x"))
+        if done[-1] and SIGN.search(layer.text):
+            done.append(_unescape(layer, BYTES, _escapes, "x"))
+    for new in filter(None, done):
+        yield new
+        if UNREAD.search(new.text):
+            yield from _streams(_bytes(new))
+            if any("\x80" <= c <= "\xff" for c in new.text):
+                yield from _streams(_bytes(new, points=True))
 
 
 def decoded(layer: Layer):
     """Layers one step below ``layer``."""
-    if "%" in layer.text:
-        new = _unescape(layer, PERCENT, _percent, "u")
-        if new:
-            yield new
-    if "\\u" in layer.text or "\\x" in layer.text or "&#" in layer.text:
-        new = _unescape(layer, ESCAPE, _escapes, "x")
-        if new:
-            yield new
-    yield from _stretches(layer, BASE64, _base64, "b")
-    yield from _stretches(layer, HEX_TEXT, _hex, "h")
+    if isinstance(layer.text, bytes):
+        if WORTH.search(layer.text):
+            yield _readable(layer)
+        yield from _streams(layer)
+        return
+    yield from _unescaped(layer)
+    yield from _unpacked(layer)
 
 
 def scan(text: str | None) -> tuple[list, list]:
@@ -232,7 +304,7 @@ def scan(text: str | None) -> tuple[list, list]:
             if place in seen:
                 continue
             seen.add(place)
-            for kind, a, b in matches(layer.text):
+            for kind, a, b in matches(layer.text) if isinstance(layer.text, str) else ():
                 span = (kind, min(layer.starts[a:b]), max(layer.ends[a:b]))
                 spans.setdefault(span, layer.way)
             work.append(layer)
