@@ -274,6 +274,27 @@ def test_secret_streams():
     assert [f for f in secrets.scan(base64.b64encode(split).decode())[1] if f[0] == "assign"]
 
 
+def test_secret_stretches():
+    plain = b"some words before it, then password=hunter2hunter2 and some words behind it, so that it takes three lines of base64"
+    assigns = lambda text: [(a, b) for k, a, b, _ in secrets.scan(text)[1] if k == "assign"]
+    for raw in (plain, gzip.compress(plain, mtime=0), b"\x00" + plain + b"\xff\xfe", b"x" * 20 + b"\x01" + plain):
+        coded = base64.b64encode(raw).decode()
+        for glued in ("blob/" + coded, "key_" + coded, "id-" + coded, "a+b-" + coded, "/" * 7 + coded, coded.rstrip("=") + "-tail"):
+            assert assigns(f"see {glued} end"), glued
+        for width in (16, 60, 64, 76):
+            lines = [coded[i : i + width] for i in range(0, len(coded), width)]
+            for text in ("\n".join(lines), "data:\r\n" + "\r\n".join(lines) + "\r\nend", "    " + "\n    ".join(lines) + " end", "blob/" + "\n".join(lines), "\\n".join(lines), "> " + "\n> ".join(lines)):
+                assert assigns(text), (width, text)
+    coded = base64.b64encode(plain).decode()
+    start, end = plain.index(b"password"), plain.index(b" and some")
+    text = "\n".join(coded[i : i + 76] for i in range(0, len(coded), 76))
+    place = lambda i: i + i // 76
+    assert assigns(text) == [(place(start * 8 // 6), place((end * 8 - 1) // 6) + 1)]
+    assert assigns("password%00%ff token%3Dabcdefgh9%00 z") and assigns("\\x00\\xfftoken\\x3dabcdefgh9")
+    word = base64.b64encode(b"token=abcdefgh9").decode().rstrip("=")
+    assert secrets.scan(f"{word}\nHello world")[1] == [("assign", 0, 20, "b")]
+
+
 def base_findings(text):
     rules = {"assign": (r"(?i:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", lambda m: len(m[2]) >= 8),
              "access": ("AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 16), "hex": ("[0-9a-f]+", lambda m: len(m[0]) >= 32)}

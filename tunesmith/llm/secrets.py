@@ -9,7 +9,9 @@ encoded alike in several places is found in each of them.  Every character of a
 the stretch of the original text that it came from, and a finding is reported as that
 stretch.
 
-Streams are looked for at every byte of a layer, one behind the other, whatever they were wrapped in.  Bytes
+A run of base64 characters is read at its four alignments, so what is glued before it does
+not matter; lines that follow each other are read one by one and joined.  Streams are looked
+for at every byte of a layer, one behind the other, whatever they were wrapped in.  Bytes
 that are no text stay in a layer as single characters, the text around them is read.
 
 Defined results: null and empty texts hold nothing; texts are read whole; repeated texts
@@ -46,6 +48,9 @@ SIGNS = dict(zip("abefnrtv", b"\a\b\x1b\f\n\r\t\v"))
 BYTE_PART = re.compile(ESCAPE_PART.pattern + "|" + r"\\([abefnrtv\\'\"/])|\\([0-7]{1,3})")
 BYTES = re.compile(f"(?:{BYTE_PART.pattern})+")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}")
+NEXT_LINE = re.compile(r"[ \t]*(?:\r?\n|(?:\\r)?\\n)[ \t>]*([A-Za-z0-9+/_-]++)")
+WHOLE_LINE = re.compile(NEXT_LINE.pattern + r"(?![ \t]*[A-Za-z0-9]|[,.;:!?])")
+LINE_BEFORE = re.compile(r"([A-Za-z0-9+/_-]+)[ \t]*\r?\n[ \t>]*\Z")
 URL_SAFE = str.maketrans("-_", "+/")
 HEX_TEXT = re.compile(r"[0-9A-Fa-f]{32,}")
 #: No finding, and nothing that decodes to one, is shorter than 14 such bytes in a row.
@@ -228,9 +233,32 @@ def _streams(layer: Layer):
 
 
 def _stretches(layer: Layer):
-    """``(characters, their places in the layer)`` of every run of base64 characters."""
-    for m in BASE64.finditer(layer.text):
+    """``(characters, their places in the layer)`` of every run of base64 characters, and of
+    runs on lines that follow each other, joined: lines of one length, and a shorter last."""
+    text, joined = layer.text, 0
+    for m in BASE64.finditer(text):
         yield m.group(), range(*m.span())
+        if m.start() < joined:
+            continue
+        lines, at, width = [m.span()], m.end(), 0
+        while n := NEXT_LINE.match(text, at):
+            size = n.end(1) - n.start(1)
+            # the first word of a line of prose does not continue a run
+            if size > width > 0 or not width and size < 16 and len(m.group()) < 60 and not WHOLE_LINE.match(text, at):
+                break
+            lines.append(n.span(1))
+            at = n.end()
+            if size < max(width, 16):
+                break
+            width = size
+        if len(lines) > 1:
+            joined = at
+        before = LINE_BEFORE.search(text[max(0, m.start() - 256) : m.start()])
+        if before and len(before[1]) < 16:
+            shift = max(0, m.start() - 256)
+            lines.insert(0, (before.start(1) + shift, before.end(1) + shift))
+        if len(lines) > 1:
+            yield "".join(text[a:b] for a, b in lines), [i for a, b in lines for i in range(a, b)]
 
 
 def _decoded(layer: Layer, places, first: list[int], last: list[int], raw: bytes, way: str):
@@ -248,13 +276,13 @@ def _unpacked(layer: Layer):
     """Layers of bytes from base64 and hex text."""
     for run, places in _stretches(layer):
         body = run.translate(URL_SAFE)
-        for k in (0,):
+        for k in range(4):
             part = body[k : len(body) - ((len(body) - k) % 4 == 1)]
             raw = binascii.a2b_base64(part + "=" * (-len(part) % 4))
             n = range(len(raw))
             yield from _decoded(layer, places, [k + 8 * j // 6 for j in n], [k + (8 * j + 7) // 6 for j in n], raw, "b")
         for m in HEX_TEXT.finditer(run):
-            for k in (m.start(),):
+            for k in (m.start(), m.start() + 1):
                 raw = bytes.fromhex(run[k : m.end() - (m.end() - k) % 2])
                 n = range(len(raw))
                 yield from _decoded(layer, places, [k + 2 * j for j in n], [k + 2 * j + 1 for j in n], raw, "h")
