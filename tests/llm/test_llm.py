@@ -319,6 +319,27 @@ def test_secret_report(spark):
 # --- sentence spans -----------------------------------------------------------------
 
 
+def test_sentence_passages_vanish_whole(spark):
+    rng = random.Random(11)
+    sentence = lambda n: " ".join(f"v{rng.randrange(10**9)}" for _ in range(n)) + ". "
+    lengths = [[40, 12], [25, 5, 5, 5], [12, 40], [5, 5, 5, 25], [30, 3, 30, 3], [3, 50, 3, 3], [19, 19, 19]]
+    lengths += [[rng.randint(1, 45) for _ in range(rng.randint(2, 7))] for _ in range(60)]
+    rows, want = [], {}
+    for i, ns in enumerate(n for n in lengths if sum(n) >= sentences.LEAST_WORDS):
+        passage = [sentence(n) for n in ns]
+        before, behind = sentence(15) + sentence(35), sentence(15) + sentence(3)
+        rows += [(2 * i, "".join(passage) + sentence(18)), (2 * i + 1, before + "".join(passage) + behind)]
+        rows.append((1000 + i, before.upper().replace("V", "w") + "".join(passage) + sentence(9) + "".join(passage) + "\n\n. "))
+        want[2 * i] = []
+        want[2 * i + 1] = list(range(2, 2 + len(ns)))
+        want[1000 + i] = [*range(2, 2 + len(ns)), *range(3 + len(ns), 3 + 2 * len(ns))]
+    own = "".join(sentence(n) for n in (25, 4, 4))
+    rows += [(5000, own + sentence(22) + own), (5001, "\n\n" + sentence(25) + "\n\n" + sentence(2) + "\n")]
+    want |= {5000: [4, 5, 6], 5001: []}
+    got = {r.doc_id: r.removed for r in sentences.deduplicate(docs(spark, rows)).select("doc_id", "removed").collect()}
+    assert {k: [i for i in v] for k, v in got.items()} == want
+
+
 def test_sentence_spans(spark):
     rng = random.Random(2)
     sentence = lambda: " ".join(f"v{rng.randrange(10**6)}" for _ in range(12)) + ". "

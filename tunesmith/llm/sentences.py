@@ -6,10 +6,11 @@ not the first of its kind are removed.  "First" is the document with the smalles
 and the first place in it.
 
 A sentence ends with its full stop, exclamation or question mark or line break and owns
-the white space behind it, so the sentences of a text joined are the text.  The run of a
-sentence is the fewest sentences from there on that hold ``LEAST_WORDS`` words, but at
-least ``SPAN``; a single sentence of ``LONG_WORDS`` words is a run, too.  Runs are equal
-if their words are, A-Z in lower case.
+the white space behind it, so the sentences of a text joined are the text.  Each sentence has
+two runs: the fewest sentences from there on, and the fewest up to there, that hold
+``LEAST_WORDS`` words, but at least ``SPAN``; a single sentence of ``LONG_WORDS`` words is a
+run, too.  So every sentence of a repeated passage that is long enough for a run lies in a
+run inside the passage.  Runs are equal if their words are, A-Z in lower case.
 
 Only hashes and keys are shuffled for the search; its aggregate combines before the
 shuffle, its join has the runs that occur in several documents on one side, and Spark
@@ -46,7 +47,7 @@ def sentences(text: str) -> list[str]:
 
 
 def runs(texts: list[str | None], span: int, least: int, long: int):
-    """For each text: its sentences, and ``(first, end, hash)`` arrays of its runs."""
+    """For each text: its sentences, and ``(first, end, first word, hash)`` arrays of its runs."""
     cut = [sentences(t) if t else [] for t in texts]
     flat = pa.array([s for c in cut for s in c], type=pa.string())
     _, codes, _, _, at = batch_words(flat, NOT_SPACE)
@@ -59,15 +60,17 @@ def runs(texts: list[str | None], span: int, least: int, long: int):
     for c in cut:
         n = len(c)
         words = at[base : base + n + 1]
-        first = np.arange(n)
+        own = np.diff(words)
+        at_ = np.arange(n)
         # the sentence behind which `least` words are reached, `span` sentences at least
-        end = np.searchsorted(words, words[:-1] + least, "left")
-        end = np.maximum(end, first + span)
-        end = np.where(np.diff(words) >= long, first + 1, end)
-        ok = (end <= n) & (np.diff(words) > 0)
-        first, end = first[ok], end[ok]
+        end = np.maximum(np.searchsorted(words, words[:-1] + least, "left"), at_ + span)
+        # the last sentence from which on they are reached
+        start = np.minimum(np.searchsorted(words, words[1:] - least, "right") - 1, at_ + 1 - span)
+        ahead, back, alone = (end <= n) & (own > 0), (start >= 0) & (own > 0), own >= long
+        first = np.concatenate([at_[ahead], start[back], at_[alone]])
+        end = np.concatenate([end[ahead], at_[back] + 1, at_[alone] + 1])
         a, b = words[first], words[end]
-        out.append((c, first, end, mix((sums[b] - sums[a]) * unpowers[a]).astype(np.int64)))
+        out.append((c, first, end, a, mix((sums[b] - sums[a]) * unpowers[a]).astype(np.int64)))
         base += n
     return out
 
@@ -77,7 +80,7 @@ def run_hashes(docs: DataFrame, key: str, text: str, span: int, least: int, long
 
     def make():
         def work(column):
-            return [[np.unique(h).tolist() for _, _, _, h in runs(column.to_pylist(), span, least, long)]]
+            return [[np.unique(h).tolist() for *_, h in runs(column.to_pylist(), span, least, long)]]
 
         return work
 
@@ -118,12 +121,13 @@ def deduplicate(
             texts = column.field("text").to_pylist()
             gone = column.field("gone").to_pylist()
             clean, number, n_removed, removed = [], [], [], []
-            for text_, hashes, (cut, first, end, h) in zip(texts, gone, runs(texts, span, least, long)):
+            for text_, hashes, (cut, first, end, word, h) in zip(texts, gone, runs(texts, span, least, long)):
                 away = np.zeros(len(cut) + 1, np.int64)
                 if len(h):
-                    _, at = np.unique(h, return_index=True)
-                    again = np.ones(len(h), bool)
-                    again[at] = False  # a run that the text itself repeats
+                    order = np.argsort(word, kind="stable")
+                    first, end, word, h = first[order], end[order], word[order], h[order]
+                    _, at, of = np.unique(h, return_index=True, return_inverse=True)
+                    again = word != word[at[of]]  # a run that the text itself repeats
                     if hashes:
                         again |= np.isin(h, np.array(hashes, dtype=np.int64))
                     np.add.at(away, first[again], 1)
