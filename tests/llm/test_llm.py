@@ -359,6 +359,21 @@ def test_sentence_spans(spark):
     assert sentences.deduplicate(docs(spark, rows).limit(0)).count() == 0
 
 
+def test_sentence_scripts_without_spaces(spark):
+    rng = random.Random(12)
+    rows, want = [], {}
+    for i, (low, high, end, gap) in enumerate([(0x4E00, 0x9F00, "\u3002", ""), (0x3041, 0x3096, "\uff01", ""), (0x4E00, 0x9F00, "\uff1f", "\u3000"),
+                                               (0x0E01, 0x0E2E, "", " "), (0x1780, 0x17B3, "\u17d4", ""), (0x1000, 0x1020, "\u104b", " ")]):
+        sentence = lambda n: "".join(chr(rng.randint(low, high)) for _ in range(n)) + end + gap  # noqa: E731, B023
+        passage = [sentence(n) for n in (30, 12, 70, 8, 25)]
+        rows += [(2 * i, sentence(20) + "".join(passage) + sentence(50)), (2 * i + 1, sentence(55) + "".join(passage) + sentence(9) + passage[1])]
+        want |= {2 * i: [], 2 * i + 1: [1, 2, 3, 4, 5]}
+    done = sentences.deduplicate(docs(spark, rows)).collect()
+    assert {r.doc_id: r.removed for r in done} == want
+    assert all("".join(sentences.sentences(t)) == t for _, t in rows)
+    assert "".join(sentences.sentences(t := "ก  ข. ค \n\u3000ง abc  ")) == t
+
+
 def test_sentence_spans_brute_force(spark):
     rows = [(r.doc_id, r.text) for r in catalog.table(spark, SF, "documents").collect()]
 

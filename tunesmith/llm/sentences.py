@@ -5,11 +5,13 @@ hashes meet in one global aggregate, and sentences that are covered by a run whi
 not the first of its kind are removed.  "First" is the document with the smallest key,
 and the first place in it.
 
-A sentence ends with its full stop, exclamation or question mark or line break and owns
-the white space behind it, so the sentences of a text joined are the text.  Each sentence has
+A sentence ends with its full stop, exclamation or question mark, in any script, or line
+break (in Thai and Lao, which have no such signs, also with a space) and owns the
+white space behind it, so the sentences of a text joined are the text.  Each sentence has
 two runs: the fewest sentences from there on, and the fewest up to there, that hold
 ``LEAST_WORDS`` words, but at least ``SPAN``; a single sentence of ``LONG_WORDS`` words is a
-run, too.  So every sentence of a repeated passage that is long enough for a run lies in a
+run, too.  In scripts without spaces between words, ``CHARS_A_WORD`` characters count as a
+word, whichever number is reached first.  So every sentence of a repeated passage that is long enough for a run lies in a
 run inside the passage.  Runs are equal if their words are, A-Z in lower case.
 
 Only hashes and keys are shuffled for the search; its aggregate combines before the
@@ -17,7 +19,7 @@ shuffle, its join has the runs that occur in several documents on one side, and
 splits a run that very many documents share.
 
 Defined results: null and empty texts have no sentences and stay as they are; a text
-with fewer than ``LEAST_WORDS`` words is never touched; rows with one key are one
+that does not reach ``LEAST_WORDS`` is never touched; rows with one key are one
 document, and each of them keeps what is first in it; null keys are one document behind
 all others; a text that loses all sentences becomes empty, its row stays; further
 columns of the input stay, except that those with the name of an added one are replaced.
@@ -38,18 +40,41 @@ from tunesmith.llm.wordcodes import NOT_SPACE, batch_words, mix
 SPAN = 2
 LEAST_WORDS = 20
 LONG_WORDS = 30
-SENTENCE = re.compile(r"[^.!?\n]*[.!?\n]+[ \t\r\n]*|[^.!?\n]+")
+#: Letters of the scripts without spaces (Chinese, Japanese, Thai, Lao, Burmese, Khmer, Tibetan
+#: and others) that make up for a word.
+CHARS_A_WORD = 2
+ENDS = (
+    ".!?\\n\u2028\u2029\x85\u3002\uff0e\uff61\uff01\uff1f\u203c\u203d\u2047-\u2049\u037e\u0589\u061d-\u061f\u06d4\u0700-\u0702\u0964\u0965"
+    "\u0df4\u0f0d\u0f0e\u104b\u1362\u1367\u1368\u166e\u17d4\u17d5\u1803\u1809\u1aa8-\u1aab\u1b5a\u1b5b\u1b5e\u1b5f\u1c3b\u1c3c\u1c7e\u1c7f\ua4ff\ua60e\ua60f\uaa5d-\uaa5f\uabeb"
+)
+SPACE = " \\t\\r\\n\u3000\u2028\u2029\x85"
+#: Thai and Lao: a space ends a sentence.
+SPACED = "\u0e00-\u0eff"
+LETTER = "\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u1950-\u19ff\u1a20-\u1aad\u3005-\u3007\u3040-\u30ff\u3100-\u312f\u31a0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\ua000-\ua4cf\ua980-\ua9df\uaa60-\uaa7f\uf900-\ufaff\uff66-\uff9d\U0001b000-\U0001b16f\U00020000-\U000323af"
+SENTENCE = re.compile(f"[^{ENDS}]*[{ENDS}]+[{SPACE}]*|[^{ENDS}]+")
+SPACED_SENTENCE = re.compile(f"(?:[^{ENDS}{SPACED}]|[{SPACED}](?![ \\t\u3000]))*(?:[{SPACED}][ \\t\u3000]+|[{ENDS}]+[{SPACE}]*)|[^{ENDS}]+")
+HAS_SPACED = re.compile(f"[{SPACED}][ \\t\u3000]")
+WIDE_SPACE = re.compile("[\u3000\u2028\u2029\x85]")
+LETTERS = re.compile(f"[{LETTER}]+")
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
 def sentences(text: str) -> list[str]:
+    if not text.isascii() and HAS_SPACED.search(text):
+        return SPACED_SENTENCE.findall(text)
     return SENTENCE.findall(text)
 
 
+def letters(cut: list[str]) -> np.ndarray | None:
+    """Letters of scripts without spaces before each sentence and in all, if there are any."""
+    number = [0 if s.isascii() else sum(map(len, LETTERS.findall(s))) for s in cut]
+    return np.cumsum([0, *number]) if any(number) else None
+
+
 def runs(texts: list[str | None], span: int, least: int, long: int):
     """For each text: its sentences, and ``(first, end, first word, hash)`` arrays of its runs."""
     cut = [sentences(t) if t else [] for t in texts]
-    flat = pa.array([s for c in cut for s in c], type=pa.string())
+    flat = pa.array([s if s.isascii() else WIDE_SPACE.sub(" ", s) for c in cut for s in c], type=pa.string())
     _, codes, _, _, at = batch_words(flat, NOT_SPACE)
     powers = np.cumprod(np.full(len(codes) + 1, _FACTOR, np.uint64), dtype=np.uint64)
     down = np.uint64(pow(int(_FACTOR), -1, 1 << 64))
@@ -63,10 +88,16 @@ def runs(texts: list[str | None], span: int, least: int, long: int):
         own = np.diff(words)
         at_ = np.arange(n)
         # the sentence behind which `least` words are reached, `span` sentences at least
-        end = np.maximum(np.searchsorted(words, words[:-1] + least, "left"), at_ + span)
+        end = np.searchsorted(words, words[:-1] + least, "left")
         # the last sentence from which on they are reached
-        start = np.minimum(np.searchsorted(words, words[1:] - least, "right") - 1, at_ + 1 - span)
-        ahead, back, alone = (end <= n) & (own > 0), (start >= 0) & (own > 0), own >= long
+        start = np.searchsorted(words, words[1:] - least, "right") - 1
+        alone = own >= long
+        if (signs := letters(c)) is not None:
+            end = np.minimum(end, np.searchsorted(signs, signs[:-1] + least * CHARS_A_WORD, "left"))
+            start = np.maximum(start, np.searchsorted(signs, signs[1:] - least * CHARS_A_WORD, "right") - 1)
+            alone |= np.diff(signs) >= long * CHARS_A_WORD
+        end, start = np.maximum(end, at_ + span), np.minimum(start, at_ + 1 - span)
+        ahead, back = (end <= n) & (own > 0), (start >= 0) & (own > 0)
         first = np.concatenate([at_[ahead], start[back], at_[alone]])
         end = np.concatenate([end[ahead], at_[back] + 1, at_[alone] + 1])
         a, b = words[first], words[end]
