@@ -148,6 +148,19 @@ def test_language_held_out(spark):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in held)
 
 
+def test_language_of_long_texts(spark):
+    rows = catalog.table(spark, "/root/testdata/sf0.1", "documents").where("lang IS NOT NULL AND text IS NOT NULL").orderBy("doc_id").collect()
+    known = [r for n in ("de", "en", "es", "fr") for r in [r for r in rows if r.lang == n and r.doc_id % 4 != 2][:400]]
+    model = language.fit([r.lang for r in known], [r.text for r in known])
+    learnt = {r.doc_id for r in known}
+    for name in model["names"]:
+        text = " ".join(r.text for r in rows if r.lang == name and r.doc_id not in learnt)
+        for long in (text[:1_000_000], text):
+            column = language.pa.array([long])
+            assert len(long) >= 1_000_000 and len(language.presence(column)[0]) < language.WIDTH / 4
+            assert language.score_batch(model, column)[0] == [name]
+
+
 def test_language_edges(spark):
     base = catalog.table(spark, SF, "documents").select("doc_id", "text", "lang", "source", "n_chars")
     odd = spark.createDataFrame([(9001, None), (9002, ""), (9003, "123 - !"), (9004, LONG), (None, "the and of")], "doc_id long, text string")

@@ -5,10 +5,11 @@ character n-grams (n = 1 to ``MAX_N``) that both contain, divided by the root of
 product of their own numbers.  A bounded sample of labelled texts gives ``landmarks``
 texts; the Nystroem map of a text is its kernel row against the landmarks times the
 inverse root of the landmark kernel.  One-versus-rest kernel ridge regression is solved
-on these maps.  Scoring is a product of a batch's presence matrix with the landmark
-matrix, and of that with the weights.
+on these maps.  The values are linear in the presence, so landmarks, map and weights are
+one weight for each place and language, and scoring adds the weights of a text's places.
 
-Presence is kept in ``WIDTH`` hashed places.  The score is the softmax of the regression
+Presence is kept as a list of ``WIDTH`` hashed places, far more than the n-grams of a text
+of some MB; a place that no landmark has weighs nothing.  The score is the softmax of the regression
 values at ``SHARPNESS``.
 
 Defined results: a null text or one without a letter gets ``und`` and score 0; very long
@@ -28,7 +29,7 @@ from tunesmith.llm.common import add_columns, bounded_sample, fold, prepare, tex
 from tunesmith.llm.wordcodes import SLICE, mix, utf8_parts
 
 MAX_N = 4
-WIDTH = 1 << 12
+WIDTH = 1 << 20
 #: Labelled texts per language, and landmarks in all.
 PER_LANGUAGE = 400
 LANDMARKS = 128
@@ -45,26 +46,38 @@ _LOWER[91:97] = 32
 _LOWER[123:128] = 32
 
 
-def presence(column: pa.Array) -> np.ndarray:
-    """Which hashed n-grams of letters each text contains, as a 0/1 matrix."""
+def presence(column: pa.Array) -> list[np.ndarray]:
+    """The hashed places of the n-grams of letters that each text contains."""
     data, starts, ends = utf8_parts(column)
-    out = np.zeros((len(column), WIDTH), dtype=np.float32)
     bits = np.uint64(64 - (WIDTH.bit_length() - 1))
-    for row, (start, end) in enumerate(zip(starts.tolist(), ends.tolist())):
+    last = np.zeros(WIDTH, np.int32)
+
+    def distinct(places):
+        number = np.arange(len(places), dtype=np.int32)
+        last[places] = number
+        return places[last[places] == number]
+
+    out = []
+    for start, end in zip(starts.tolist(), ends.tolist()):
+        found = np.zeros(0, np.int64)
         for at in range(start, end, PIECE):
             chars = _LOWER[data[at : min(end, at + PIECE + MAX_N - 1)]].astype(np.uint64)
-            code = np.zeros(len(chars), np.uint64)
+            code, places = np.zeros(len(chars), np.uint64), [found]
             for n in range(1, MAX_N + 1):
                 if len(chars) < n:
                     break
                 code = code[: len(chars) - n + 1] * np.uint64(256) + chars[n - 1 :]
                 # the last piece but one reads a little of the next: a set does not mind
-                out[row, (mix(code + np.uint64(n << 40)) >> bits).astype(np.int64)] = 1
+                places.append((mix(code + np.uint64(n << 40)) >> bits).astype(np.int64))
+            found = distinct(np.concatenate(places))
+        out.append(found)
     return out
 
 
-def _normal(x: np.ndarray) -> np.ndarray:
-    return x / np.sqrt(np.maximum(x.sum(axis=1, keepdims=True), 1))
+def _sums(places: list[np.ndarray], rows: np.ndarray) -> np.ndarray:
+    """Sum of the rows of each text's places, over the root of their number."""
+    sums = np.array([rows[p].sum(axis=0) for p in places], dtype=np.float64).reshape(len(places), rows.shape[1])
+    return sums / np.sqrt(np.maximum([len(p) for p in places], 1))[:, None]
 
 
 def fit(labels: list[str], texts: list[str]) -> dict | None:
@@ -73,15 +86,21 @@ def fit(labels: list[str], texts: list[str]) -> dict | None:
         return None
     names = sorted(set(labels))
     order = np.random.Generator(np.random.PCG64(7)).permutation(len(labels))
-    x = np.concatenate([_normal(presence(pa.array([texts[i] for i in order[a : a + 64]]))) for a in range(0, len(order), 64)])
+    x = [p for a in range(0, len(order), 64) for p in presence(pa.array([texts[i] for i in order[a : a + 64]]))]
     y = np.array([names.index(labels[i]) for i in order])
     per = max(1, LANDMARKS // len(names))
     marks = np.concatenate([np.flatnonzero(y == c)[:per] for c in range(len(names))])
-    land = x[marks]
-    values, vectors = np.linalg.eigh((land @ land.T).astype(np.float64))
+    used = np.unique(np.concatenate([x[i] for i in marks]))
+    row = np.full(WIDTH, len(used))  # the last row: places of no landmark
+    row[used] = np.arange(len(used))
+    land = np.zeros((len(used) + 1, len(marks)), np.float32)
+    for k, i in enumerate(marks):
+        land[row[x[i]], k] = 1 / np.sqrt(max(1, len(x[i])))
+    kernel = _sums([row[p] for p in x], land)
+    values, vectors = np.linalg.eigh(kernel[marks])
     good = values > 1e-6 * values.max()
     root = vectors[:, good] / np.sqrt(values[good])
-    maps = (x @ land.T).astype(np.float64) @ root
+    maps = kernel @ root
     maps = np.hstack([maps, np.ones((len(maps), 1))])
     share = np.bincount(y, minlength=len(names))
     weight = (1 / share)[y][:, None]  # languages count alike
@@ -90,8 +109,8 @@ def fit(labels: list[str], texts: list[str]) -> dict | None:
     solved = np.linalg.solve(gram, maps.T @ (target * weight))
     return {
         "names": names,
-        "land": np.ascontiguousarray(land.T),
-        "weights": (root @ solved[:-1]).astype(np.float32),
+        "places": used,
+        "weights": (land[:-1] @ (root @ solved[:-1])).astype(np.float32),
         "bias": solved[-1].astype(np.float32),
     }
 
@@ -104,8 +123,10 @@ def score_batch(model: dict | None, column: pa.Array) -> list:
     if model is None:
         return [[UNKNOWN] * len(column), [0.0] * len(column)]
     known = has_letter(column)
-    kernel = _normal(presence(column)) @ model["land"]
-    values = SHARPNESS * (kernel @ model["weights"] + model["bias"]).astype(np.float64)
+    if "rows" not in model:  # once a worker
+        model["rows"] = np.zeros((WIDTH, len(model["names"])), np.float32)
+        model["rows"][model["places"]] = model["weights"]
+    values = SHARPNESS * (_sums(presence(column), model["rows"]) + model["bias"])
     values = np.exp(values - values.max(axis=1, keepdims=True))
     values /= values.sum(axis=1, keepdims=True)
     best = values.argmax(axis=1)
