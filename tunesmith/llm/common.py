@@ -64,7 +64,7 @@ def add_columns(df: DataFrame, text: str, added: str, make) -> DataFrame:
     gone = {f.name.lower() for f in new.fields}
     kept = [c for c in df.columns if c.lower() not in gone]
     source = temp(df, "text")
-    rows = df.select(F.col(_quoted(text)).alias(source), *[F.col(_quoted(c)) for c in kept])
+    rows = df.select(F.col(quoted(text)).alias(source), *[F.col(quoted(c)) for c in kept])
     schema = T.StructType([rows.schema[c] for c in kept] + list(new.fields))
     kinds = [arrow_type(f.dataType) for f in new.fields]
     names = kept + [f.name for f in new.fields]
@@ -79,10 +79,18 @@ def add_columns(df: DataFrame, text: str, added: str, make) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def _quoted(name: str) -> str:
+def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def output_names(done: DataFrame, docs: DataFrame, added: list[str]) -> DataFrame:
+    """The columns of ``docs``, packed in ``row``, and the ``added`` ones, which replace
+    columns of their names in any case."""
+    gone = {a.lower() for a in added}
+    kept = [F.col("row").getField(c).alias(c) for c in docs.columns if c.lower() not in gone]
+    return done.select(*kept, *added)
+
+
 def bounded_sample(marks: DataFrame, docs: DataFrame, text: str, per_label: int) -> DataFrame:
     """Up to ``per_label`` distinct texts of each label, as ``(label, text)``.
 
