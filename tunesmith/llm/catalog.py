@@ -5,8 +5,23 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-
-from tunesmith.llm import decontaminate, jaccard, language, pages, pieces, secrets, sentences, sharding, toxicity, vectors
+from pyspark.sql import functions as F
+
+from tunesmith.llm import (
+    decontaminate,
+    jaccard,
+    language,
+    pages,
+    periods,
+    pieces,
+    secrets,
+    sentences,
+    sharding,
+    suffixes,
+    toxicity,
+    vectors,
+    whitening,
+)
 
 #: Where the public tokenizer files are; a parameter of every function that reads one.
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
@@ -60,6 +75,57 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = suffixes.deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select(
+        "doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+def planted_periods(docs: DataFrame) -> DataFrame:
+    """``docs`` (``doc_id``, ``text``), the words of one document in ten made periodic.
+
+    With ``h`` the crc32 of the key, ``g`` a tenth of it and ``n`` words: from word
+    ``g % n`` on, the words repeat the first ``1 + (n - g % n) // (3 + g % 8)`` of them.
+    """
+    h = F.crc32(F.col("doc_id").cast("string"))
+    chosen = docs.where((h % 10 == 0) & F.col("text").isNotNull())
+    words = F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    # bound to lambda variables, so that the text is split once and not once a word
+    some = chosen.select("doc_id", words.alias("words"), F.floor(h / 10).alias("g"))
+    made = F.expr("""transform(
+        transform(
+            transform(array(words), w -> struct(w, g % greatest(size(w), 1) AS a)),
+            s -> struct(s.w AS w, s.a AS a, 1 + floor((size(s.w) - s.a) / (3 + g % 8)) AS p)),
+        s -> array_join(transform(s.w, (x, i) -> IF(i < s.a, x, s.w[int(s.a + (i - s.a) % s.p)])), ' '))[0]""")
+    made = some.select("doc_id", made.alias("text"))
+    others = docs.where(F.coalesce(h % 10 != 0, F.lit(True)) | F.col("text").isNull())
+    return others.select("doc_id", "text").unionByName(made)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = periods.periodic_runs(planted_periods(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = F.col("strongest")
+    return done.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.expr("strongest.length * 1000 div strongest.period").alias("exponent_milli"),
+        F.sha2(F.concat_ws("", lines), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = whitening.whitened(table(spark, sf_dir, "embeddings"))
+    each = F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "c")
+    rows = done.select("vec_id", "n", "deviation", "identity_error", each)
+    return rows.select("vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "c.whitened", "c.explained", "identity_error")
+
+
 @dataclass(frozen=True)
 class Entry:
     run: object
@@ -157,6 +223,9 @@ ENTRIES = {
     "op8_sentencepiece": Entry(op8_sentencepiece),
     "op9_language": Entry(op9_language),
     "op10_sharding": Entry(op10_sharding, OP10_SQL),
+    "op11_suffix_dedup": Entry(op11_suffix_dedup),
+    "op12_periodic_runs": Entry(op12_periodic_runs),
+    "op13_whitening": Entry(op13_whitening),
 }
 
 
