@@ -23,6 +23,21 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def kept(df: DataFrame, label: str) -> DataFrame:
+    """``store``, after which Spark drops the shuffle files of the job that wrote it.
+
+    The stored table is read from then on, so nothing needs them again; otherwise they
+    stay until the driver collects garbage.  The setting is put back.
+    """
+    conf, name = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(name, None)
+    conf.set(name, "true")
+    try:
+        return store(df, label)
+    finally:
+        conf.unset(name) if before is None else conf.set(name, before)
+
+
 def fold(key: str, n: int):
     """crc32 of a key written as text, modulo ``n``; null for a null key."""
     return F.pmod(F.crc32(F.col(key).cast("string")), F.lit(n))

@@ -25,7 +25,8 @@ string becomes a snippet of its own with the string itself as its anchor, so tha
 equal strings meet, and their first one is found by an aggregate.
 
 Only hashes and places of repeated anchors, and each different repeated snippet once,
-are shuffled, besides the texts themselves, which join their removed spans twice.
+are shuffled, besides the texts themselves, which are joined twice: with the snippets to
+sort, and with the spans that go.
 
 Defined results: null texts count as empty; texts shorter than ``length`` stay whole;
 rows that are equal in key and text are one document, given more than once, and do not
@@ -44,9 +45,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tunesmith.llm.common import add_columns, output_names, prepare, quoted
+from tunesmith.llm.common import add_columns, kept, output_names, prepare, quoted
 from tunesmith.llm.wordcodes import BYTE_CODES, mix, utf8_parts
-from tunesmith.session import store
 
 LENGTH = 100
 GRAM = 32
@@ -291,18 +291,22 @@ def sorted_repeats(cut: DataFrame, length: int) -> DataFrame:
 
 def removed_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most: int = MOST) -> DataFrame:
     """``key``, ``id`` and ``spans``: byte ranges of ``docs`` (``key``, ``id``, ``text``) that go."""
-    table = store(anchored(docs, length, gram).drop("text"), "suffix_snippets")
+    table = kept(anchored(docs, length, gram).drop("text"), "suffix_snippets")
     one = table.select("key", "id", F.explode("snippets").alias("s")).select("key", "id", "s.anchor", "s.own", "s.place")
     shared = one.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
-    found = store(one.join(shared, "anchor"), "suffix_repeats")
-    firsts = store(firsts_of(found), "suffix_firsts")
-    crowded = store(firsts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most).select("anchor"), "suffix_crowded")
-    place = firsts.select("anchor", "own", "first.key", "first.id", "first.place")
+    found = kept(one.join(shared, "anchor"), "suffix_repeats")
+    firsts = kept(firsts_of(found), "suffix_firsts")
     spans = repeats_of(found, firsts, length)
-    spans = spans.unionByName(sorted_repeats(snippet_bytes(docs, place.join(crowded, "anchor", "left_anti"), length), length))
-    if not crowded.isEmpty():
-        single = store(snippet_bytes(docs, place.join(crowded, "anchor"), length, each=True).drop("bytes"), "suffix_strings")
+    # equal strings lie at equal places of their snippets, so one snippet alone repeats nothing
+    sizes = firsts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    places = firsts.join(sizes, "anchor").select("anchor", "own", "first.key", "first.id", "first.place", "n")
+    places = kept(places, "suffix_places")
+    few = F.col("n") <= most
+    spans = spans.unionByName(sorted_repeats(snippet_bytes(docs, places.where(few), length), length))
+    if not places.where(~few).isEmpty():
+        single = kept(snippet_bytes(docs, places.where(~few), length, each=True).drop("bytes"), "suffix_strings")
         spans = spans.unionByName(repeats_of(single, firsts_of(single), length))
+    spans = kept(spans, "suffix_spans")
     return spans.groupBy("id", "key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
 
