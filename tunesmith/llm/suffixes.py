@@ -296,13 +296,13 @@ def removed_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most:
     shared = one.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
     found = kept(one.join(shared, "anchor"), "suffix_repeats")
     firsts = kept(firsts_of(found), "suffix_firsts")
-    spans = repeats_of(found, firsts, length)
     # equal strings lie at equal places of their snippets, so one snippet alone repeats nothing
     sizes = firsts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     places = firsts.join(sizes, "anchor").select("anchor", "own", "first.key", "first.id", "first.place", "n")
     places = kept(places, "suffix_places")
     few = F.col("n") <= most
-    spans = spans.unionByName(sorted_repeats(snippet_bytes(docs, places.where(few), length), length))
+    spans = kept(sorted_repeats(snippet_bytes(docs, places.where(few), length), length), "suffix_sorted")
+    spans = spans.unionByName(repeats_of(found, firsts, length))
     if not places.where(~few).isEmpty():
         single = kept(snippet_bytes(docs, places.where(~few), length, each=True).drop("bytes"), "suffix_strings")
         spans = spans.unionByName(repeats_of(single, firsts_of(single), length))
