@@ -338,7 +338,7 @@ def test_sentence_passages_vanish_whole(spark):
     lengths = [[40, 12], [25, 5, 5, 5], [12, 40], [5, 5, 5, 25], [30, 3, 30, 3], [3, 50, 3, 3], [19, 19, 19]]
     lengths += [[rng.randint(1, 45) for _ in range(rng.randint(2, 7))] for _ in range(60)]
     rows, want = [], {}
-    for i, ns in enumerate(n for n in lengths if sum(n) >= sentences.LEAST_WORDS):
+    for i, ns in enumerate(lengths):
         passage = [sentence(n) for n in ns]
         before, behind = sentence(15) + sentence(35), sentence(15) + sentence(3)
         rows += [(2 * i, "".join(passage) + sentence(18)), (2 * i + 1, before + "".join(passage) + behind)]
@@ -367,7 +367,8 @@ def test_sentence_spans(spark):
     assert got[rows[2]].clean == rows[2][1].replace(shared, "") and got[rows[2]].n_removed == 4
     assert got[rows[6]].clean == "" and got[rows[7]].clean == ""
     assert got[rows[8]].n_removed == 0 and got[rows[3]].clean is None and got[rows[4]].clean == ""
-    assert got[rows[10]].clean == rows[10][1] and got[rows[11]].clean == ""
+    assert got[rows[10]].clean == rows[10][1] and got[rows[11]].clean == rows[11][1]  # one sentence is no run
+    assert got[rows[5]].removed == [1, 2, 3, 4, 5]
     assert all("".join(sentences.sentences(t)) == t for _, t in rows if t)
     assert sentences.deduplicate(docs(spark, rows).limit(0)).count() == 0
 
@@ -387,26 +388,42 @@ def test_sentence_scripts_without_spaces(spark):
     assert "".join(sentences.sentences(t := "ก  ข. ค \n\u3000ง abc  ")) == t
 
 
-def test_sentence_spans_brute_force(spark):
-    rows = [(r.doc_id, r.text) for r in catalog.table(spark, SF, "documents").collect()]
-
-    def spans(text):
-        cut = sentences.sentences(text)
-        n = [len(s.split()) for s in cut]
-        for i in range(len(cut)):
-            if not n[i]:
-                continue
-            j = i + 1 if n[i] >= sentences.LONG_WORDS else next((j for j in range(i + 2, len(cut) + 1) if sum(n[i:j]) >= sentences.LEAST_WORDS), None)
-            if j:
-                yield i, j, tuple(w.translate({c: c + 32 for c in range(65, 91)}) for s in cut[i:j] for w in re.findall(r"[^\x20\x09-\x0D]+", s))
-
+def covered_sentences(rows, longest):
+    """Sentences of every run of 2 to ``longest`` sentences with words that is not the first of its kind."""
     first, want = {}, {}
     for key, text in sorted(rows):
+        cut = [re.findall(r"[^\x20\x09-\x0D]+", s.translate({c: c + 32 for c in range(65, 91)})) for s in sentences.sentences(text)]
+        said = [i for i, words in enumerate(cut) if words]
         gone = set()
-        for i, j, words in spans(text):
-            if first.setdefault(words, (key, i)) != (key, i):
-                gone |= set(range(i, j))
+        for a in range(len(said)):
+            for b in range(a + 2, min(a + longest, len(said)) + 1):
+                run = tuple(tuple(cut[i]) for i in said[a:b])
+                if first.setdefault(run, (key, a)) != (key, a):
+                    gone |= set(range(said[a], said[b - 1] + 1))
         want[key] = sorted(gone)
+    return want
+
+
+def test_sentence_runs_of_every_length(spark):
+    rng = random.Random(8)
+    said = ["Yes. ", "no! ", "one two? ", "a b c.", "\n\n", "... ", "Long one with several words\n"]
+    rows = [(i, "".join(rng.choice(said) for _ in range(rng.randint(0, 14)))) for i in range(40)]
+    want = covered_sentences(rows, 99)
+    assert want == covered_sentences(rows, 2) and sum(map(len, want.values())) > 50  # runs of two stand for all
+    assert {r.doc_id: r.removed for r in sentences.deduplicate(docs(spark, rows)).collect()} == want
+    three = sentences.deduplicate(docs(spark, rows), span=3)
+    assert {r.doc_id: r.n_removed for r in three.collect()} != {k: len(v) for k, v in want.items()}
+
+
+def test_sentence_short_runs(spark):
+    rows = [(1, "Only here. One two three. Four five six seven."), (2, "And here. One two three. Four five six seven. End.")]
+    got = by_key(sentences.deduplicate(docs(spark, rows)))
+    assert (got[1].n_removed, got[2].removed, got[2].clean) == (0, [1, 2], "And here. End.")
+
+
+def test_sentence_spans_brute_force(spark):
+    rows = [(r.doc_id, r.text) for r in catalog.table(spark, SF, "documents").collect()]
+    want = covered_sentences(rows, 4)
     assert {r.doc_id: r.removed for r in catalog.op6_sentence_dedup(spark, SF).collect()} == want
 
 

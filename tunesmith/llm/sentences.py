@@ -1,28 +1,32 @@
 """Substring deduplication by sliding sentence spans.
 
-Texts are cut into sentences; every run of several consecutive sentences is hashed, the
-hashes meet in one global aggregate, and sentences that are covered by a run which is
-not the first of its kind are removed.  "First" is the document with the smallest key,
-and the first place in it.
+Texts are cut into sentences; every run of ``span`` and more consecutive sentences counts,
+and sentences that are covered by a run which is not the first of its kind are removed.
+"First" is the document with the smallest key, and the first place in it.
 
 A sentence ends with its full stop, exclamation or question mark, in any script, or line
 break (in Thai and Lao, which have no such signs, also with a space) and owns the
-white space behind it, so the sentences of a text joined are the text.  Each sentence has
-two runs: the fewest sentences from there on, and the fewest up to there, that hold
-``LEAST_WORDS`` words, but at least ``SPAN``; a single sentence of ``LONG_WORDS`` words is a
-run, too.  In scripts without spaces between words, ``CHARS_A_WORD`` characters count as a
-word, whichever number is reached first.  So every sentence of a repeated passage that is long enough for a run lies in a
-run inside the passage.  Runs are equal if their words are, A-Z in lower case.
+white space behind it, so the sentences of a text joined are the text.  Runs are
+of sentences that hold words, and are equal if these sentences have equal words, one by
+one, A-Z in lower case; what lies between two sentences of a run belongs to it.
 
-Only hashes and keys are shuffled for the search; its aggregate combines before the
-shuffle, its join has the runs that occur in several documents on one side, and Spark
-splits a run that very many documents share.
+A run of more than ``span`` sentences is equal to an earlier one only if each run of
+``span`` sentences in it is equal to the earlier run at the same place there, and covers no
+more than these do together.  So the runs of ``span`` sentences, slid along the text,
+stand for the runs of every length: their hashes meet in one global aggregate, and nothing
+is missed by leaving the longer ones out.  There are no least lengths.
+
+Hashes, keys and text hashes are stored once and shuffled twice: for the aggregate, which
+combines before the shuffle, and for its join, which has the runs that occur in several
+documents on one side, so Spark splits a run that very many documents share.
 
 Defined results: null and empty texts have no sentences and stay as they are; a text
-that does not reach ``LEAST_WORDS`` is never touched; rows with one key are one
-document, and each of them keeps what is first in it; null keys are one document behind
-all others; a text that loses all sentences becomes empty, its row stays; further
-columns of the input stay, except that those with the name of an added one are replaced.
+of fewer than ``span`` sentences is never touched; rows that are equal in key and text are
+one document, given more than once, and each keeps what is first in it; rows with one key
+and different texts are ordered by a hash of the text, null keys come behind all others;
+a text that loses all sentences becomes empty, its row stays; an empty table gives an
+empty result; further columns stay, except that those with the name of an added one (in
+any case) are replaced.
 """
 
 from __future__ import annotations
@@ -34,15 +38,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tunesmith.llm.common import add_columns, prepare
+from tunesmith.llm.common import add_columns, kept, output_names, prepare
+from tunesmith.llm.suffixes import identified
 from tunesmith.llm.wordcodes import NOT_SPACE, batch_words, mix
 
 SPAN = 2
-LEAST_WORDS = 20
-LONG_WORDS = 30
-#: Letters of the scripts without spaces (Chinese, Japanese, Thai, Lao, Burmese, Khmer, Tibetan
-#: and others) that make up for a word.
-CHARS_A_WORD = 2
 ENDS = (
     ".!?\\n\u2028\u2029\x85\u3002\uff0e\uff61\uff01\uff1f\u203c\u203d\u2047-\u2049\u037e\u0589\u061d-\u061f\u06d4\u0700-\u0702\u0964\u0965"
     "\u0df4\u0f0d\u0f0e\u104b\u1362\u1367\u1368\u166e\u17d4\u17d5\u1803\u1809\u1aa8-\u1aab\u1b5a\u1b5b\u1b5e\u1b5f\u1c3b\u1c3c\u1c7e\u1c7f\ua4ff\ua60e\ua60f\uaa5d-\uaa5f\uabeb"
@@ -50,12 +50,10 @@ ENDS = (
 SPACE = " \\t\\r\\n\u3000\u2028\u2029\x85"
 #: Thai and Lao: a space ends a sentence.
 SPACED = "\u0e00-\u0eff"
-LETTER = "\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u1950-\u19ff\u1a20-\u1aad\u3005-\u3007\u3040-\u30ff\u3100-\u312f\u31a0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\ua000-\ua4cf\ua980-\ua9df\uaa60-\uaa7f\uf900-\ufaff\uff66-\uff9d\U0001b000-\U0001b16f\U00020000-\U000323af"
 SENTENCE = re.compile(f"[^{ENDS}]*[{ENDS}]+[{SPACE}]*|[^{ENDS}]+")
 SPACED_SENTENCE = re.compile(f"(?:[^{ENDS}{SPACED}]|[{SPACED}](?![ \\t\u3000]))*(?:[{SPACED}][ \\t\u3000]+|[{ENDS}]+[{SPACE}]*)|[^{ENDS}]+")
 HAS_SPACED = re.compile(f"[{SPACED}][ \\t\u3000]")
 WIDE_SPACE = re.compile("[\u3000\u2028\u2029\x85]")
-LETTERS = re.compile(f"[{LETTER}]+")
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -65,14 +63,8 @@ def sentences(text: str) -> list[str]:
     return SENTENCE.findall(text)
 
 
-def letters(cut: list[str]) -> np.ndarray | None:
-    """Letters of scripts without spaces before each sentence and in all, if there are any."""
-    number = [0 if s.isascii() else sum(map(len, LETTERS.findall(s))) for s in cut]
-    return np.cumsum([0, *number]) if any(number) else None
-
-
-def runs(texts: list[str | None], span: int, least: int, long: int):
-    """For each text: its sentences, and ``(first, end, first word, hash)`` arrays of its runs."""
+def runs(texts: list[str | None], span: int):
+    """For each text: its sentences, and ``(first, end, hash)`` arrays of its runs."""
     cut = [sentences(t) if t else [] for t in texts]
     flat = pa.array([s if s.isascii() else WIDE_SPACE.sub(" ", s) for c in cut for s in c], type=pa.string())
     _, codes, _, _, at = batch_words(flat, NOT_SPACE)
@@ -81,70 +73,46 @@ def runs(texts: list[str | None], span: int, least: int, long: int):
     unpowers = np.cumprod(np.full(len(codes) + 1, down, np.uint64), dtype=np.uint64)
     sums = np.zeros(len(codes) + 1, np.uint64)
     np.cumsum(codes * powers[:-1], out=sums[1:])
+    own = mix((sums[at[1:]] - sums[at[:-1]]) * unpowers[at[:-1]] + np.diff(at).astype(np.uint64))
     out, base = [], 0
     for c in cut:
-        n = len(c)
-        words = at[base : base + n + 1]
-        own = np.diff(words)
-        at_ = np.arange(n)
-        # the sentence behind which `least` words are reached, `span` sentences at least
-        end = np.searchsorted(words, words[:-1] + least, "left")
-        # the last sentence from which on they are reached
-        start = np.searchsorted(words, words[1:] - least, "right") - 1
-        alone = own >= long
-        if (signs := letters(c)) is not None:
-            end = np.minimum(end, np.searchsorted(signs, signs[:-1] + least * CHARS_A_WORD, "left"))
-            start = np.maximum(start, np.searchsorted(signs, signs[1:] - least * CHARS_A_WORD, "right") - 1)
-            alone |= np.diff(signs) >= long * CHARS_A_WORD
-        end, start = np.maximum(end, at_ + span), np.minimum(start, at_ + 1 - span)
-        ahead, back = (end <= n) & (own > 0), (start >= 0) & (own > 0)
-        first = np.concatenate([at_[ahead], start[back], at_[alone]])
-        end = np.concatenate([end[ahead], at_[back] + 1, at_[alone] + 1])
-        a, b = words[first], words[end]
-        out.append((c, first, end, a, mix((sums[b] - sums[a]) * unpowers[a]).astype(np.int64)))
-        base += n
+        said = np.flatnonzero(np.diff(at[base : base + len(c) + 1]))  # sentences with words
+        hashes, n = own[base + said], max(len(said) - span + 1, 0)
+        total = np.full(n, np.uint64(span))
+        for k in range(span):
+            total = mix(total * _FACTOR + hashes[k : k + n])
+        out.append((c, said[:n], said[span - 1 :] + 1 if n else said[:0], total.view(np.int64)))
+        base += len(c)
     return out
 
 
-def run_hashes(docs: DataFrame, key: str, text: str, span: int, least: int, long: int) -> DataFrame:
-    """``key``, ``run``: the distinct runs of every text."""
+def later_runs(docs: DataFrame, span: int) -> DataFrame:
+    """``key``, ``id``, ``gone``: the runs of each document that a document before it has."""
 
     def make():
         def work(column):
-            return [[np.unique(h).tolist() for *_, h in runs(column.to_pylist(), span, least, long)]]
+            return [[np.unique(h).tolist() for *_, h in runs(column.to_pylist(), span)]]
 
         return work
 
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    return add_columns(rows, "text", "run array<bigint>", make).select("key", F.explode("run").alias("run"))
-
-
-def later_runs(docs: DataFrame, key: str, text: str, span: int, least: int, long: int) -> DataFrame:
-    """``key``, ``gone``: the runs of each document that a document before it has."""
-    found = run_hashes(docs, key, text, span, least, long)
-    shared = found.groupBy("run").agg(
-        F.min("key").alias("first"), F.max("key").alias("last"),
-        F.count("key").alias("keys"), F.count(F.lit(1)).alias("rows"),
-    )
-    shared = shared.where("first < last OR (first IS NOT NULL AND keys < rows)").select("run", "first")
-    later = found.join(shared, "run").where(~F.col("key").eqNullSafe(F.col("first")))
-    return later.groupBy("key").agg(F.collect_set("run").alias("gone"))
-
-
-def deduplicate(
-    docs: DataFrame,
-    key: str = "doc_id",
-    text: str = "text",
-    span: int = SPAN,
-    least: int = LEAST_WORDS,
-    long: int = LONG_WORDS,
-) -> DataFrame:
+    found = add_columns(docs, "text", "run array<bigint>", make).select("key", "id", "run")
+    found = kept(found, "sentence_runs").select("key", "id", F.explode("run").alias("run"))
+    order = F.struct(F.col("key").isNull().alias("none"), "key", "id")
+    shared = found.groupBy("run").agg(F.min(order).alias("first"), F.max(order).alias("last")).where("first < last")
+    later = found.join(shared.select("run", "first"), "run")
+    later = later.where(~(F.col("first.key").eqNullSafe(F.col("key")) & (F.col("first.id") == F.col("id"))))
+    return later.groupBy("id", "key").agg(F.collect_set("run").alias("gone"))
+
+
+def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", span: int = SPAN) -> DataFrame:
     """``docs`` with ``clean`` (the text that stays), ``n_sentences``, ``n_removed`` and
     ``removed`` (numbers of the sentences that went)."""
+    if span < 2:
+        raise ValueError("a run has several sentences")
     prepare(docs.sparkSession)
-    later = later_runs(docs, key, text, span, least, long)
-    rows = docs.select(F.struct("*").alias("row"), F.col(key).alias("key"))
-    joined = rows.join(later.withColumnRenamed("key", "of"), F.col("key").eqNullSafe(F.col("of")), "left")
+    rows = identified(docs, key, text)
+    later = later_runs(rows.select("key", "id", "text"), span).withColumnRenamed("key", "of").withColumnRenamed("id", "of_id")
+    joined = rows.join(later, (F.col("id") == F.col("of_id")) & F.col("key").eqNullSafe(F.col("of")), "left")
     source = F.struct(F.col("row").getField(text).alias("text"), "gone").alias("source")
 
     def make():
@@ -152,13 +120,11 @@ def deduplicate(
             texts = column.field("text").to_pylist()
             gone = column.field("gone").to_pylist()
             clean, number, n_removed, removed = [], [], [], []
-            for text_, hashes, (cut, first, end, word, h) in zip(texts, gone, runs(texts, span, least, long)):
+            for text_, hashes, (cut, first, end, h) in zip(texts, gone, runs(texts, span)):
                 away = np.zeros(len(cut) + 1, np.int64)
                 if len(h):
-                    order = np.argsort(word, kind="stable")
-                    first, end, word, h = first[order], end[order], word[order], h[order]
                     _, at, of = np.unique(h, return_index=True, return_inverse=True)
-                    again = word != word[at[of]]  # a run that the text itself repeats
+                    again = np.arange(len(h)) != at[of]  # a run that the text itself repeats
                     if hashes:
                         again |= np.isin(h, np.array(hashes, dtype=np.int64))
                     np.add.at(away, first[again], 1)
@@ -174,6 +140,4 @@ def deduplicate(
 
     added = "clean string, n_sentences bigint, n_removed bigint, removed array<bigint>"
     done = add_columns(joined.select("row", source), "source", added, make)
-    names = {c.split()[0] for c in added.split(", ")}
-    kept = [F.col("row").getField(c).alias(c) for c in docs.columns if c.lower() not in names]
-    return done.select(*kept, *[F.col(c.split()[0]) for c in added.split(", ")])
+    return output_names(done, docs, ["clean", "n_sentences", "n_removed", "removed"])
