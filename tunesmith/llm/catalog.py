@@ -229,14 +229,5 @@ ENTRIES = {
 }
 
 
-def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import corpus_pipeline
-
-    return corpus_pipeline.run(spark, sf_dir)
-
-
 def entries() -> dict[str, Entry]:
-    import corpus_pipeline
-
-    return {**ENTRIES, "pipeline": Entry(pipeline, corpus_pipeline.ORACLE_SQL)}
-
+    return dict(ENTRIES)

@@ -80,18 +80,20 @@ def add_columns(df: DataFrame, text: str, added: str, make) -> DataFrame:
     kept = [c for c in df.columns if c.lower() not in gone]
     source = temp(df, "text")
     rows = df.select(F.col(quoted(text)).alias(source), *[F.col(quoted(c)) for c in kept])
-    schema = T.StructType([rows.schema[c] for c in kept] + list(new.fields))
+    # plain names on the way through Python: those of the input may hold dots
+    plain = [f"c{i}" for i in range(len(kept) + len(new.fields))]
+    rows = rows.toDF(source, *plain[: len(kept)])
+    fields = [T.StructField(n, f.dataType) for n, f in zip(plain, [*rows.schema.fields[1:], *new.fields])]
     kinds = [arrow_type(f.dataType) for f in new.fields]
-    names = kept + [f.name for f in new.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
             made = [pa.array(v, type=k) if not isinstance(v, pa.Array) else v.cast(k)
                     for v, k in zip(work(batch.column(0)), kinds)]
-            yield pa.RecordBatch.from_arrays(batch.columns[1:] + made, names=names)
+            yield pa.RecordBatch.from_arrays(batch.columns[1:] + made, names=plain)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, T.StructType(fields)).toDF(*kept, *[f.name for f in new.fields])
 
 
 def quoted(name: str) -> str:

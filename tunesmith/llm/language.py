@@ -119,14 +119,18 @@ def has_letter(column: pa.Array) -> np.ndarray:
     return np.array([v is not None and any(c.isalpha() for c in v) for v in column.to_pylist()], dtype=bool)
 
 
-def score_batch(model: dict | None, column: pa.Array) -> list:
+def score_batch(model: dict | None, column: pa.Array, least_known: float = 0.0) -> list:
     if model is None:
         return [[UNKNOWN] * len(column), [0.0] * len(column)]
     known = has_letter(column)
+    grams = presence(column)
     if "rows" not in model:  # once a worker
         model["rows"] = np.zeros((WIDTH, len(model["names"])), np.float32)
         model["rows"][model["places"]] = model["weights"]
-    values = SHARPNESS * (_sums(presence(column), model["rows"]) + model["bias"])
+    values = SHARPNESS * (_sums(grams, model["rows"]) + model["bias"])
+    if least_known:
+        used = model["rows"].any(axis=1)
+        known &= np.array([len(g) and used[g].mean() >= least_known for g in grams], dtype=bool)
     values = np.exp(values - values.max(axis=1, keepdims=True))
     values /= values.sum(axis=1, keepdims=True)
     best = values.argmax(axis=1)
@@ -157,9 +161,13 @@ def train(docs: DataFrame, text: str, label: str, per_language: int = PER_LANGUA
     return pickle.loads(bytes(rows[0].model)) if rows else None
 
 
-def identify(docs: DataFrame, model: dict | None, text: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``."""
-    return add_columns(docs, text, "lang_pred string, score double", lambda: lambda c: score_batch(model, c))
+def identify(docs: DataFrame, model: dict | None, text: str = "text", least_known: float = 0.0) -> DataFrame:
+    """``docs`` with ``lang_pred`` and ``score``.
+
+    With ``least_known``, texts that share less than this part of their n-grams with the
+    landmarks (other scripts, mostly) are in no learnt language, either.
+    """
+    return add_columns(docs, text, "lang_pred string, score double", lambda: lambda c: score_batch(model, c, least_known))
 
 
 def trained_rows(docs: DataFrame, key: str = "doc_id") -> DataFrame:

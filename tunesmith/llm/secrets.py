@@ -28,7 +28,7 @@ import zlib
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tunesmith.llm.common import add_columns, prepare
+from tunesmith.llm.common import add_columns, prepare, quoted
 
 KINDS = ("assign", "access", "hex")
 #: Bytes at once while a stream is expanded.
@@ -394,4 +394,4 @@ def redacted(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> Dat
     def make():
         return lambda column: [[redact(v, [{"start": a, "end": b} for _, a, b, _ in scan(v)[1]], mark) for v in column.to_pylist()]]
 
-    return add_columns(docs, text, f"`{text}` string", make).select(*docs.columns)
+    return add_columns(docs, text, f"`{text}` string", make).select(*map(quoted, docs.columns))

@@ -18,7 +18,8 @@ bit can split, and each gets bits of its own number behind the common ones.
 
 Defined results: a shard over the limit holds a single row that is itself larger, and is
 marked ``oversized``; null keys and null contents are hashed as such, a null content has
-no bytes; an empty table gives no shards; further columns do not matter.
+no bytes; an empty table gives no shards; further columns
+stay, except that those with the name of an added one (in any case) are replaced.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tunesmith.llm.common import quoted
 from tunesmith.session import store
 
 BITS = 60
@@ -36,7 +38,7 @@ LIMIT_BYTES = 8 << 20
 
 def content_hash(*columns: str) -> F.Column:
     """The first 60 bits of an md5 over columns written as text."""
-    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in columns])
+    text = F.concat_ws("|", *[F.coalesce(F.col(quoted(c)).cast("string"), F.lit("~")) for c in columns])
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long")
 
 
@@ -86,13 +88,14 @@ def shard(
 ) -> DataFrame:
     """``docs`` with ``n_bytes``, ``shard`` (``depth-prefix``), ``depth``, ``shard_bytes``,
     ``shard_docs`` and ``oversized``; columns of these names are replaced."""
-    size = F.coalesce(F.octet_length(content), F.lit(0)).cast("long")
+    size = F.coalesce(F.octet_length(F.col(quoted(content))), F.lit(0)).cast("long")
     keys = store(docs.select(content_hash(key, content).alias("h"), size.alias("bytes")), "shard_keys")
     entries = directory(keys, limit, step)
     rounds = (entries.agg(F.max("round")).first()[0] or 0) + 1
     added = ["n_bytes", "shard", "depth", "shard_bytes", "shard_docs", "oversized"]
+    others = [F.col(quoted(c)) for c in docs.columns if c.lower() not in added]
     plain = docs.select(
-        F.struct(*[c for c in docs.columns if c not in added]).alias("row"), content_hash(key, content).alias("h"), size.alias("n_bytes")
+        F.struct(*others).alias("row"), content_hash(key, content).alias("h"), size.alias("n_bytes")
     )
     fields = ["depth", "prefix", "shard_bytes", "shard_docs", "same"]
     for r in range(rounds):
