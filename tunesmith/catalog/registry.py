@@ -89,3 +89,23 @@ def encode_cte(base: str, key: str, p: str = "") -> str:
              row_number() OVER (PARTITION BY t.{key} ORDER BY s, i) AS k,
              count(*) OVER (PARTITION BY t.{key}) AS n_tok
       FROM {p}tok t LEFT JOIN vocab v ON v.tok = t.tok)"""
+
+
+def offset_cte(base: str, key: str, p: str = "", width: int = 3, size: int = 50_000) -> str:
+    """CTEs ending in ``{p}num`` for the hashing tokenizer: tokens of the whole rendered
+    text, cut without regard to segments and held against the place of the reply."""
+    return rf"""
+    {p}txt AS (
+      SELECT {key}, '<|im_start|>system' || chr(10) || 'You are a helpful assistant.<|im_end|>' || chr(10)
+          || '<|im_start|>user' || chr(10) || prompt || '<|im_end|>' || chr(10) || '<|im_start|>assistant' || chr(10) AS lead,
+        completion, '<|im_end|>' || chr(10) AS tail FROM {base}),
+    {p}lst AS (SELECT {key}, length(lead) AS a, length(lead) + length(completion) AS b,
+        regexp_extract_all(lead || completion || tail, '<\|pad\|>|<\|im_start\|>|<\|im_end\|>|[^<]{{1,{width}}}|<') AS toks FROM {p}txt),
+    {p}tok AS (SELECT {key}, a, b, unnest(toks) AS tok, generate_subscripts(toks, 1) AS i FROM {p}lst),
+    {p}put AS (SELECT *, sum(length(tok)) OVER (PARTITION BY {key} ORDER BY i) AS e FROM {p}tok),
+    {p}num AS (
+      SELECT {key}, CASE WHEN e - length(tok) < b AND e > a THEN 1 ELSE 0 END AS g,
+             CASE tok WHEN '<|pad|>' THEN 0 WHEN '<|im_start|>' THEN 1 WHEN '<|im_end|>' THEN 2
+                      ELSE 4 + ('0x' || substr(md5(tok), 1, 8))::BIGINT % {size} END AS id,
+             i AS k, count(*) OVER (PARTITION BY {key}) AS n_tok
+      FROM {p}put)"""

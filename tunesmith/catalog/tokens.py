@@ -15,11 +15,13 @@ from tunesmith.catalog.registry import (
     encode_cte,
     exchange_cte,
     joined,
+    offset_cte,
     registrar,
     table,
     vocab_cte,
 )
 from tunesmith.functions.text import split_words
+from tunesmith.functions.tokenizers import hashing_tokenizer
 from tunesmith.functions.tokenrows import labels_from_mask, mask_with_end
 from tunesmith.operators.batches import (
     curriculum_plan,
@@ -184,11 +186,36 @@ def tk6_sft_examples(spark, sf):
     )
 
 
-def _side_sql(side: str) -> str:
+_OUTSIDE = f"{exchange_cte()}, {offset_cte('fx', 'conv_id')}"
+
+
+@register(
+    f"""WITH {_OUTSIDE} SELECT conv_id, string_agg(id::VARCHAR, ',' ORDER BY k) AS ids,
+        string_agg(g::VARCHAR, ',' ORDER BY k) AS generated FROM num GROUP BY conv_id"""
+)
+def tk2_encode_with_spans(spark, sf):
+    """An outside tokenizer, whose tokens cross the borders of segments."""
+    chat = first_exchange(table(spark, sf, "conversations")).select(
+        "conv_id", exchange(F.col("prompt"), F.col("completion")).alias("messages")
+    )
+    rows = encode(render_chat(chat), hashing_tokenizer())
+    return rows.select("conv_id", joined("ids").alias("ids"), joined("generated").alias("generated"))
+
+
+@register(_rows_sql(_OUTSIDE, V.SFT_LENGTH, f"n_tok <= {V.SFT_LENGTH}"))
+def tk6_sft_examples_outside(spark, sf):
+    tokenizer = hashing_tokenizer()
+    rows = sft_examples(table(spark, sf, "conversations"), tokenizer)
+    return pad_examples(rows, V.SFT_LENGTH, tokenizer.pad_id).select(
+        "conv_id", *[joined(c).alias(c) for c in ("input_ids", "attention_mask", "labels")]
+    )
+
+
+def _side_sql(side: str, cte=encode_cte) -> str:
     p = side[0]
     return f"""
       {p}pairs AS (SELECT conv_id, prompt, {side} AS completion FROM pairs),
-      {encode_cte(f'{p}pairs', 'conv_id', p)},
+      {cte(f'{p}pairs', 'conv_id', p)},
       {p}ends AS (SELECT *, {_LAST.format(key='conv_id')} FROM {p}num
                   WHERE n_tok <= {V.PREFERENCE_LENGTH}),
       {p}out AS (SELECT conv_id, list(id::INT ORDER BY k) AS ids, list(1 ORDER BY k) AS att,
@@ -196,38 +223,60 @@ def _side_sql(side: str) -> str:
           FROM {p}ends GROUP BY conv_id)"""
 
 
+_BOTH_SIDES = ", ".join(
+    f"{_pad_sql(f'{s[0]}out.{c}', V.PREFERENCE_LENGTH, 0)} AS {s}_{n}"
+    for s in ("chosen", "rejected")
+    for c, n in (("ids", "input_ids"), ("att", "attention_mask"), ("mask", "assistant_masks"))
+)
+
+
 @register(
     f"""WITH {PAIRS_CTE}, {vocab_cte()}, {_side_sql('chosen')}, {_side_sql('rejected')}
-        SELECT conv_id, {', '.join(
-            f"{_pad_sql(f'{s[0]}out.{c}', V.PREFERENCE_LENGTH, 0)} AS {s}_{n}"
-            for s in ('chosen', 'rejected')
-            for c, n in (('ids', 'input_ids'), ('att', 'attention_mask'), ('mask', 'assistant_masks'))
-        )} FROM cout JOIN rout USING (conv_id)"""
+        SELECT conv_id, {_BOTH_SIDES} FROM cout JOIN rout USING (conv_id)"""
 )
 def tk7_preference_examples(spark, sf):
-    rows = preference_examples(preference_pairs(spark, sf), vocabulary(spark, sf))
+    return _padded_preferences(preference_examples(preference_pairs(spark, sf), vocabulary(spark, sf)))
+
+
+@register(
+    f"""WITH {PAIRS_CTE}, {_side_sql('chosen', offset_cte)}, {_side_sql('rejected', offset_cte)}
+        SELECT conv_id, {_BOTH_SIDES} FROM cout JOIN rout USING (conv_id)"""
+)
+def tk7_preference_examples_outside(spark, sf):
+    return _padded_preferences(preference_examples(preference_pairs(spark, sf), hashing_tokenizer()))
+
+
+def _padded_preferences(rows):
     padded = pad_preferences(rows)
     return padded.select("conv_id", *[joined(c).alias(c) for c in padded.columns if c != "conv_id"])
 
 
-_FLAGGED = f"""{exchange_cte()}, {vocab_cte()}, {encode_cte('fx', 'conv_id')},
-    every AS (SELECT DISTINCT conv_id FROM conversations),
+_REVISED = f"""every AS (SELECT DISTINCT conv_id FROM conversations),
     cut AS (SELECT * FROM num WHERE k <= {V.REVISION_LENGTH}),
     used AS (SELECT conv_id FROM cut GROUP BY conv_id HAVING max(g) = 1),
     ends AS (SELECT *, {_LAST.format(key='conv_id')} FROM cut SEMI JOIN used USING (conv_id)),
     lists AS (SELECT conv_id, list(id::INT ORDER BY k) AS ids, list(1 ORDER BY k) AS att,
         list((CASE WHEN g = 1 OR k = last_end THEN id ELSE -100 END)::INT ORDER BY k) AS labels
-        FROM ends GROUP BY conv_id)"""
-
-
-@register(
-    f"""WITH {_FLAGGED} SELECT conv_id,
+        FROM ends GROUP BY conv_id)
+    SELECT conv_id,
           {_pad_sql('coalesce(ids, [])', V.REVISION_LENGTH, 0)} AS input_ids,
           {_pad_sql('coalesce(att, [])', V.REVISION_LENGTH, 0)} AS attention_mask,
           {_pad_sql('coalesce(labels, [])', V.REVISION_LENGTH, -100)} AS labels,
           ids IS NOT NULL AS valid
         FROM every LEFT JOIN lists USING (conv_id)"""
-)
+
+
+@register(f"WITH {_OUTSIDE}, {_REVISED}")
+def tk8_revision_examples_outside(spark, sf):
+    tokenizer = hashing_tokenizer()
+    exchanges = first_exchange(table(spark, sf, "conversations"), "flag")
+    rows = revision_examples(exchanges, tokenizer, "conv_id")
+    return pad_examples(rows, V.REVISION_LENGTH, tokenizer.pad_id).select(
+        "conv_id", "valid", *[joined(c).alias(c) for c in ("input_ids", "attention_mask", "labels")]
+    )
+
+
+@register(f"WITH {exchange_cte()}, {vocab_cte()}, {encode_cte('fx', 'conv_id')}, {_REVISED}")
 def tk8_revision_examples(spark, sf):
     exchanges = first_exchange(table(spark, sf, "conversations"), "flag")
     rows = revision_examples(exchanges, vocabulary(spark, sf), "conv_id")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -24,6 +25,7 @@ from tunesmith.fixed_values import (
     START_ID,
     UNKNOWN_ID,
 )
+from tunesmith.functions.tokenizers import OutsideTokenizer
 from tunesmith.functions.text import split_tokens, split_words, truncate_to_tokens
 from tunesmith.functions.tokenrows import (
     attention,
@@ -31,7 +33,6 @@ from tunesmith.functions.tokenrows import (
     labels_from_mask,
     mask_with_end,
     padded,
-    padded_ids,
 )
 from tunesmith.operators.chat import exchange, first_exchange, render_chat, valid_preferences
 from tunesmith.operators.position import with_position
@@ -102,7 +103,7 @@ def _word_id(tok: Column, slots: Column, n: int) -> Column:
 
 def encode(
     df: DataFrame,
-    vocab: DataFrame,
+    vocab: DataFrame | OutsideTokenizer,
     segments: str = "segments",
     drop_segments: bool = True,
     by_join: bool | None = None,
@@ -113,8 +114,11 @@ def encode(
     of bounded size is one subquery value, so a corpus is encoded where it lies: no token
     rows, no join, no shuffle.  A larger one is joined to the distinct words of each row,
     and the row is encoded with the ids of its own words.  The result is the same;
-    ``by_join`` overrides the choice by size.
+    ``by_join`` overrides the choice by size.  An outside tokenizer encodes the text as
+    one, so its tokens may cross borders (see ``encode_with_spans``).
     """
+    if isinstance(vocab, OutsideTokenizer):
+        return encode_with_spans(df, vocab, segments, drop_segments)
     cols = [c for c in df.columns if not (drop_segments and c == segments)]
     rows = df.select(*df.columns, F.col(f"{segments}.generated").alias("_flags"))
     if by_join or (by_join is None and not _fits_value(vocab)):
@@ -180,6 +184,60 @@ def encode_with(
     return df.withColumn(ids, run(F.col(text)))
 
 
+def encode_with_spans(
+    df: DataFrame, tokenizer: OutsideTokenizer, segments: str = "segments", drop_segments: bool = True
+) -> DataFrame:
+    """Add ``ids`` and ``generated`` for rendered segments, by an outside tokenizer.
+
+    The segments are joined and encoded as one text.  A token is generated if any part
+    of it lies in a generated segment, so one that straddles a border is, and so are all
+    tokens that share the bytes of a generated character.  Empty tokens are not.  Null
+    texts of segments are empty; a row without segments has no ids.  A narrow map: rows
+    stay where they lie.
+    """
+    cols = [F.col(c) for c in df.columns if not (drop_segments and c == segments)]
+    opened: list = []
+
+    @F.pandas_udf("struct<ids: array<int>, generated: array<int>>")
+    def run(texts: pd.Series, flags: pd.Series) -> pd.DataFrame:
+        if not opened:
+            opened.append(tokenizer.loader())
+        parts = [[x or "" for x in t] if t is not None else [] for t in texts]
+        encoded = opened[0](["".join(p) for p in parts])
+        ids, generated = [], []
+        for part, flag, (own, spans) in zip(parts, flags, encoded):
+            size = [len(x) if tokenizer.unit == "chars" else len(x.encode()) for x in part]
+            ids.append(own)
+            generated.append(overlaps(spans, size, [bool(g) for g in flag] if flag is not None else []))
+        return pd.DataFrame({"ids": ids, "generated": generated})
+
+    made = run(F.col(f"{segments}.text"), F.col(f"{segments}.generated")).alias("_made")
+    done = df.select(*cols, made).select(*cols, "_made.ids", "_made.generated")
+    return done
+
+
+def overlaps(spans: list[tuple[int, int]], sizes: list[int], generated: list[bool]) -> list[int]:
+    """1 for each token span that shares something with a generated segment.
+
+    Both lists lie in text order: a span is held against the last generated stretch
+    that starts before its end.
+    """
+    if not spans:
+        return []
+    ends = np.cumsum(sizes) if sizes else np.zeros(0, np.int64)
+    some = np.array([g and n > 0 for g, n in zip(generated, sizes)], bool)
+    starts, ends = (ends - np.array(sizes, np.int64))[some], ends[some]
+    token = np.array(spans, np.int64).reshape(-1, 2)
+    at = np.searchsorted(starts, token[:, 1], "left") - 1
+    inside = (at >= 0) & (token[:, 0] < token[:, 1])
+    inside[inside] = ends[at[inside]] > token[inside, 0]
+    return inside.astype(int).tolist()
+
+
+def _end_id(vocab: DataFrame | OutsideTokenizer) -> int:
+    return vocab.end_id if isinstance(vocab, OutsideTokenizer) else END_ID
+
+
 def fit_length(df: DataFrame, length: int, overflow: str) -> DataFrame:
     """Apply the length policy to ``ids``/``generated`` (still without padding).
 
@@ -205,7 +263,7 @@ def overflow_counts(df: DataFrame, length: int) -> DataFrame:
     )
 
 
-def _rendered_ids(pairs: DataFrame, vocab: DataFrame) -> DataFrame:
+def _rendered_ids(pairs: DataFrame, vocab: DataFrame | OutsideTokenizer) -> DataFrame:
     """``(.., prompt, completion)`` -> ``(.., ids, generated)``."""
     keep = [c for c in pairs.columns if c not in ("prompt", "completion")]
     chat = pairs.withColumn("messages", exchange(F.col("prompt"), F.col("completion")))
@@ -214,24 +272,24 @@ def _rendered_ids(pairs: DataFrame, vocab: DataFrame) -> DataFrame:
     )
 
 
-def sft_examples(turns: DataFrame, vocab: DataFrame, length: int = SFT_LENGTH) -> DataFrame:
+def sft_examples(turns: DataFrame, vocab: DataFrame | OutsideTokenizer, length: int = SFT_LENGTH) -> DataFrame:
     """First exchanges as ``(conv_id, ids, labels)``; invalid or long ones are dropped.
 
     Rows are stored without padding; ``pad_examples`` adds it on export.
     """
     rows = fit_length(_rendered_ids(first_exchange(turns), vocab), length, "drop")
-    mask = mask_with_end(F.col("ids"), F.col("generated"))
+    mask = mask_with_end(F.col("ids"), F.col("generated"), _end_id(vocab))
     return rows.withColumn("mask", mask).select(
         "conv_id", "ids", labels_from_mask(F.col("ids"), F.col("mask")).alias("labels")
     )
 
 
-def pad_examples(df: DataFrame, length: int) -> DataFrame:
+def pad_examples(df: DataFrame, length: int, pad_id: int = PAD_ID) -> DataFrame:
     """``ids``/``labels`` -> fixed-length ``input_ids``, ``attention_mask``, ``labels``."""
     keep = [c for c in df.columns if c not in ("ids", "labels")]
     return df.select(
         *keep,
-        padded_ids(F.col("ids"), length).alias("input_ids"),
+        padded(F.col("ids"), length, pad_id).alias("input_ids"),
         attention(F.col("ids"), length).alias("attention_mask"),
         padded(F.col("labels"), length, IGNORE_LABEL).alias("labels"),
     )
@@ -241,7 +299,7 @@ SIDES = ("chosen", "rejected")
 
 
 def preference_examples(
-    pairs: DataFrame, vocab: DataFrame, key: str = "conv_id", length: int = PREFERENCE_LENGTH
+    pairs: DataFrame, vocab: DataFrame | OutsideTokenizer, key: str = "conv_id", length: int = PREFERENCE_LENGTH
 ) -> DataFrame:
     """``(key, chosen, rejected)`` message arrays -> ids and masks of both sides.
 
@@ -254,18 +312,18 @@ def preference_examples(
         rows = fit_length(rows, length, "drop").select(
             *keep,
             F.col("ids").alias(f"{side}_ids"),
-            mask_with_end(F.col("ids"), F.col("generated")).alias(f"{side}_mask"),
+            mask_with_end(F.col("ids"), F.col("generated"), _end_id(vocab)).alias(f"{side}_mask"),
         )
     return rows
 
 
-def pad_preferences(df: DataFrame, length: int = PREFERENCE_LENGTH) -> DataFrame:
+def pad_preferences(df: DataFrame, length: int = PREFERENCE_LENGTH, pad_id: int = PAD_ID) -> DataFrame:
     keep = [c for c in df.columns if not c.endswith(("_ids", "_mask"))]
     arrays = []
     for side in SIDES:
         ids = F.col(f"{side}_ids")
         arrays += [
-            padded_ids(ids, length).alias(f"{side}_input_ids"),
+            padded(ids, length, pad_id).alias(f"{side}_input_ids"),
             attention(ids, length).alias(f"{side}_attention_mask"),
             padded(F.col(f"{side}_mask"), length, 0).alias(f"{side}_assistant_masks"),
         ]
@@ -273,7 +331,7 @@ def pad_preferences(df: DataFrame, length: int = PREFERENCE_LENGTH) -> DataFrame
 
 
 def revision_examples(
-    exchanges: DataFrame, vocab: DataFrame, key: str = "pos", length: int = REVISION_LENGTH
+    exchanges: DataFrame, vocab: DataFrame | OutsideTokenizer, key: str = "pos", length: int = REVISION_LENGTH
 ) -> DataFrame:
     """``(key, prompt, completion[, valid])`` -> truncated token rows.
 
@@ -290,7 +348,7 @@ def revision_examples(
     rows = rows.withColumn(
         "valid",
         F.col("valid") & F.coalesce(F.array_contains("generated", 1), F.lit(False)),
-    ).withColumn("mask", mask_with_end(F.col("ids"), F.col("generated")))
+    ).withColumn("mask", mask_with_end(F.col("ids"), F.col("generated"), _end_id(vocab)))
     none = ints(F.array())
     return rows.select(
         key,
