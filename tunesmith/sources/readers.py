@@ -1,8 +1,6 @@
 """Readers for prompt, record, completion and corpus files.
 
-JSON lines and Parquet are the formats for large data: they split.  A JSON array
-is one value by definition, so one *file* is the unit of work there; big sets
-come as many array files, which are read in parallel and numbered through.
+All formats are read in splits: JSON lines at line ends, JSON arrays as ``arrays`` says.
 """
 
 from __future__ import annotations
@@ -15,6 +13,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tunesmith.schemas import PROMPTS
+from tunesmith.session import store
+from tunesmith.sources.arrays import array_elements
 
 
 def read_prompts(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -25,6 +25,13 @@ def read_prompts(spark: SparkSession, path: str | list[str]) -> DataFrame:
     each, in path order) puts them behind one another.  A line that is no JSON fails the
     job.
     """
+    placed = _placed_lines(spark, path)
+    record = F.from_json("value", PROMPTS, {"mode": "FAILFAST"})
+    return placed.select("pos", record["prompt"].alias("prompt"))
+
+
+def _placed_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Lines that are not blank, with their place in their file (``i``) and in all (``pos``)."""
     lines = spark.read.text(path).where(F.trim("value") != "").select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
@@ -33,44 +40,40 @@ def read_prompts(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
     splits = lines.groupBy("file", "block").agg(F.min("i").alias("low"), F.count(F.lit(1)).alias("n"))
     before = F.sum("n").over(W.orderBy("file", "block")) - F.col("n")
-    placed = lines.join(splits.select("file", "block", "low", before.alias("first")), ["file", "block"])
-    record = F.from_json("value", PROMPTS, {"mode": "FAILFAST"})
-    return placed.select(
-        (F.col("first") + F.col("i") - F.col("low")).alias("pos"), record["prompt"].alias("prompt")
-    )
+    here = F.sum("n").over(W.partitionBy("file").orderBy("block")) - F.col("n")
+    splits = splits.select("file", "block", "low", before.alias("first"), here.alias("here"))
+    placed = lines.join(splits, ["file", "block"])
+    at = F.col("i") - F.col("low")
+    return placed.select("file", (F.col("first") + at).alias("pos"), (F.col("here") + at).alias("i"), "value")
 
 
 def read_json_arrays(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Files that each hold one JSON array, or JSON lines -> ``(pos BIGINT, value VARIANT)``.
 
-    ``pos`` runs through all files in path order.  Elements are parsed one by one
-    (``ARRAY<VARIANT>``), so only the single element is bound by the variant size
-    limit, not the file.  The second pass only counts the elements per file.  An empty
-    file holds nothing; one that is neither an array nor JSON lines fails the job with
+    ``pos`` runs through all files in path order.  A file of any size is read by many
+    tasks; its structure is found, and its elements are stored, when this is called, and
+    each element is parsed once, so only the single element is bound by the variant size
+    limit.  A file that starts with a bracket and is one value is an array; any other is
+    read as JSON lines.  An empty file holds nothing; one that is neither fails with
     its name.
     """
-    lines = F.filter(F.split("value", "\r?\n"), lambda line: F.trim(line) != "")
-    parsed = F.transform(lines, lambda line: F.try_parse_json(line))
-    lines_parse = ~F.exists(parsed, lambda item: item.isNull())
-    bracketed = F.col("value").rlike(r"^\s*\[") & F.col("value").rlike(r"\]\s*$")
-    # several lines that parse one by one are several values, not one array
-    array = F.when(bracketed & ((F.size(lines) == 1) | ~lines_parse), F.from_json("value", "array<variant>"))
-    records = F.when(lines_parse & ~F.col("value").rlike(r"^\s*\["), parsed)
-    broken = F.raise_error(F.concat(F.lit("neither a JSON array nor JSON lines: "), F.col("_metadata.file_path")))
-    files = spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.coalesce(array, records, broken.cast("array<variant>")).alias("items"),
-    )
-    # one short row per file: not a data-sized window
-    offsets = files.select("file", F.size("items").alias("n")).select(
-        "file",
-        (F.sum("n").over(W.orderBy("file")) - F.col("n")).alias("first"),
-    )
-    # joined while a file is still one row
-    return (
-        files.join(offsets, "file")
-        .select("first", F.posexplode("items").alias("i", "value"))
-        .select((F.col("first") + F.col("i")).alias("pos"), "value")
+    elements, sizes, names, others = array_elements(spark, path)
+    found = elements.select("file", "i", "text")
+    if others:
+        lines = store(_placed_lines(spark, [names[f] for f in others]).select(F.xxhash64("file").alias("file"), "i", F.col("value").alias("text")), "lines")
+        sizes = sizes | {r.file: r.n for r in lines.groupBy("file").agg(F.count(F.lit(1)).alias("n")).collect()}
+        found = found.unionByName(lines)
+    first, offsets = 0, []
+    for file in sorted(sizes, key=names.get):  # one short row per file
+        offsets.append((file, first, names[file]))
+        first += sizes[file]
+    if not offsets:
+        return found.select(F.lit(0).cast("bigint").alias("pos"), F.try_parse_json("text").alias("value")).limit(0)
+    placed = found.join(spark.createDataFrame(offsets, "file BIGINT, first BIGINT, name STRING"), "file")
+    broken = F.raise_error(F.concat(F.lit("neither a JSON array nor JSON lines: "), F.col("name")))
+    value = F.try_parse_json("text")
+    return placed.select(
+        (F.col("first") + F.col("i")).alias("pos"), F.when(value.isNull(), broken.cast("variant")).otherwise(value).alias("value")
     )
 
 
