@@ -122,7 +122,7 @@ def scan(lines: DataFrame) -> DataFrame:
 def starts(rows: list, names: dict[int, str]) -> tuple[dict[tuple[int, int], Start], dict[int, int], list[int]]:
     """How each split of an array starts, the elements of each array, and the other files.
 
-    ``rows`` are those of ``scan``.  A file is an array if it is one value in brackets.
+    ``rows`` are those of ``scan``.  A file that starts with a bracket has to be one array.
     """
     files: dict[int, list] = {}
     for row in sorted(rows, key=lambda r: (r.file, r.block)):
@@ -139,9 +139,9 @@ def starts(rows: list, names: dict[int, str]) -> tuple[dict[tuple[int, int], Sta
         signs = [s for row in splits for s in (row.first, row.last) if s]
         if not signs or signs[0] == "[" and sum(row.signs for row in splits) == 2 and signs[-1] == "]" and not before:
             sizes[file] = 0
-        elif signs[0] != "[" or signs[-1] != "]" or tops > 1:
+        elif signs[0] != "[":
             others.append(file)
-        elif depth or inside:
+        elif signs[-1] != "]" or tops > 1 or depth or inside:
             raise ValueError(f"neither a JSON array nor JSON lines: {names[file]}")
         else:
             found.update(own)

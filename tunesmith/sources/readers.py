@@ -53,8 +53,7 @@ def read_json_arrays(spark: SparkSession, path: str | list[str]) -> DataFrame:
     ``pos`` runs through all files in path order.  A file of any size is read by many
     tasks; its structure is found, and its elements are stored, when this is called, and
     each element is parsed once, so only the single element is bound by the variant size
-    limit.  A file that starts with a bracket and is one value is an array; any other is
-    read as JSON lines.  An empty file holds nothing; one that is neither fails with
+    limit.  A file that starts with a bracket is one array; any other is read as JSON lines.  An empty file holds nothing; one that is neither fails with
     its name.
     """
     elements, sizes, names, others = array_elements(spark, path)
