@@ -13,6 +13,7 @@ from urllib.parse import quote, quote_plus
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -113,6 +114,52 @@ def test_passes_grow_with_the_largest_label():
         assert (1 - together) ** vectors.passes_for(n) <= vectors.MISS
 
 
+def crowded_vectors(n, planted, mutual, dim=64, seed=5):
+    """One label around a common direction, with ``planted`` partners of cosine 0.94."""
+    rng = np.random.default_rng(seed)
+    shared = np.zeros(dim)
+    shared[0] = 1.0
+    noise = rng.standard_normal((n, dim))
+    noise[:, 0] = 0
+    noise /= np.linalg.norm(noise, axis=1, keepdims=True)
+    base = np.sqrt(mutual) * shared + np.sqrt(1 - mutual) * noise
+    other = rng.standard_normal((planted, dim))
+    other -= (other * base[:planted]).sum(axis=1, keepdims=True) * base[:planted]
+    other /= np.linalg.norm(other, axis=1, keepdims=True)
+    return np.concatenate([base, 0.94 * base[:planted] + np.sqrt(1 - 0.94**2) * other])
+
+
+@pytest.mark.parametrize("n, planted, mutual", [(20_000, 500, 0.8), (20_000, 500, 0.5), (3_000, 300, 0.9), (3_000, 300, 0.0)])
+def test_links_of_crowded_labels(spark, n, planted, mutual):
+    vectors_ = crowded_vectors(n, planted, mutual)
+    rows = [(i, v.tolist(), "one") for i, v in enumerate(vectors_)]
+    frame = pd.DataFrame(rows, columns=["vec_id", "embedding", "label"])
+    got = {r.vec_id: r.n_links for r in vectors.near_vectors(spark.createDataFrame(frame)).collect()}
+    unit = vectors_ / np.linalg.norm(vectors_, axis=1, keepdims=True)
+    want = np.concatenate([(unit[i : i + 2000] @ unit.T >= 0.93).sum(axis=1) - 1 for i in range(0, len(unit), 2000)])
+    assert len(got) == len(want) and all(got[i] <= want[i] for i in got)
+    assert sum(got.values()) >= 0.99 * want.sum() >= 2 * planted * 0.99
+
+
+def test_labels_beyond_all_passes_are_compared_exactly(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "MOST_PASSES", 30)
+    vectors_ = crowded_vectors(900, 100, 0.85, dim=24)
+    frame = pd.DataFrame([(i, v.tolist(), "one") for i, v in enumerate(vectors_)], columns=["vec_id", "embedding", "label"])
+    items = vectors.items_of(vectors.with_node(spark.createDataFrame(frame), "vec_id", "embedding", "label"))
+    needed = vectors.passes_needed(vectors.centred(items), 0.93, vectors.WINDOW, vectors.LEAST_PASSES).first()
+    assert needed.passes is None
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_vectors(spark.createDataFrame(frame), block=256).collect()}
+    unit = vectors_ / np.linalg.norm(vectors_, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.93
+    for i in range(len(unit)):
+        seen, todo = {i}, [i]
+        while todo:
+            new = set(np.flatnonzero(near[todo.pop()]).tolist()) - seen
+            seen |= new
+            todo += new
+        assert got[i] == (near[i].sum() - 1, min(seen)), i
+
+
 # --- toxicity and language ----------------------------------------------------------
 
 

@@ -6,9 +6,16 @@ label and that bit string and every vector is compared with the ``window`` next
 Pairs whose cosine (double precision) reaches ``threshold`` are links, and the links of
 all passes together form classes.
 
-The number of passes follows from the largest label: the bits that two vectors must share
-to come within a window grow with its size, and so many passes are made that a pair of
-cosine ``threshold`` fails to share them in all of them with probability ``MISS`` at most.
+Vectors of a label often share a direction, which would give them the same bits, so the
+label's mean is taken off before hashing; cosines are those of the vectors as they are.
+
+The number of passes of a label is measured.  Over all its vectors, two trial passes count
+the leading bits in which a vector agrees with the one a window further: a partner that
+shares more of them is inside the window.  The length that is left of a vector without the
+mean gives the chance that a partner of cosine ``threshold`` shares a bit.  So many passes
+are made that such a pair is missed in all of them with probability ``MISS`` at most.  A
+label that would need more than ``MOST_PASSES`` (its vectors lie so close to each other
+that hashing hardly tells them apart) is compared exactly instead, block by block.
 
 Windows find one link of a dense neighbourhood, not all.  An exact second step completes
 them: all vectors of a class are compared with each other, in pairs of blocks, so
@@ -17,7 +24,9 @@ them: all vectors of a class are compared with each other, in pairs of blocks, s
 Defined results: vectors that are null, empty, zero, or hold null or non-finite numbers,
 and vectors without a label, link with nothing; vectors of different length are not
 compared; equal vectors (copies, repeated rows) are one item in the passes and count as
-one vector each in the result; a null id does not take part in the minimum.
+one vector each in the result; a null id does not take part in the minimum.  An empty
+table gives no rows; columns other than the three named are not read, so their names
+cannot clash.  A vector of any length is handled whole; a batch of them must fit a task.
 """
 
 from __future__ import annotations
@@ -36,6 +45,9 @@ THRESHOLD = 0.93
 #: Chance that no pass brings a pair at the threshold together.
 MISS = 0.005
 LEAST_PASSES = 12
+#: A label that needs more passes than this is compared exactly.
+MOST_PASSES = 384
+TRIAL_PASSES = 2
 WINDOW = 24
 BITS = 60
 BLOCK = 2048
@@ -53,9 +65,24 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
 
 
-def directions(dim: int, passes: int, seed: int = SEED) -> np.ndarray:
-    """Random directions of all passes: ``passes * BITS`` columns."""
-    return np.random.Generator(np.random.PCG64([seed, dim])).standard_normal((dim, passes * BITS))
+#: Passes that are projected at once, which bounds the memory of a batch.
+CHUNK = 16
+
+
+def directions(dim: int, chunk: int, seed: int = SEED) -> np.ndarray:
+    """Random directions of the passes of a chunk: ``CHUNK * BITS`` columns."""
+    return np.random.Generator(np.random.PCG64([seed, dim, chunk])).standard_normal((dim, CHUNK * BITS))
+
+
+def codes_of(rows: np.ndarray, passes: int) -> np.ndarray:
+    """Bit strings of the rows as numbers, one column for each pass."""
+    weights = np.int64(1) << np.arange(BITS - 1, -1, -1)
+    made = []
+    for chunk in range(-(-passes // CHUNK)):
+        now = min(CHUNK, passes - chunk * CHUNK)
+        bits = rows @ directions(rows.shape[1], chunk)[:, : now * BITS] > 0
+        made.append((bits.reshape(len(rows), now, BITS) * weights).sum(axis=2))
+    return np.concatenate(made, axis=1)
 
 
 def passes_for(largest: int, threshold: float = THRESHOLD, window: int = WINDOW) -> int:
@@ -94,26 +121,104 @@ def with_node(df: DataFrame, key: str, vector: str, label: str) -> DataFrame:
     return rows.withColumn("node", F.when(F.coalesce(usable, F.lit(False)), F.xxhash64("label", "v")))
 
 
-def window_links(items: DataFrame, threshold: float, passes: int, window: int) -> DataFrame:
-    """Links ``(a, b)`` that the passes find; links that connect nothing new are left out."""
+def centred(items: DataFrame) -> DataFrame:
+    """``items`` with ``dim`` and ``c``: the unit vector without the mean of its label.
+
+    Means are one row for each label and length, stored, and joined without a hint.
+    """
+    unit = items.withColumn("dim", F.size("v")).withColumn("top", F.expr("array_max(transform(v, x -> abs(x)))"))
+    unit = unit.withColumn("u", F.expr("transform(v, x -> x / top)"))  # tiny and huge vectors keep their direction
+    unit = unit.withColumn("length", F.expr("sqrt(aggregate(u, 0D, (total, x) -> total + x * x))"))
+    unit = unit.withColumn("u", F.expr("transform(u, x -> x / length)")).drop("top", "length")
+    parts = unit.select("label", "dim", F.posexplode("u").alias("i", "x"))
+    each = parts.groupBy("label", "dim", "i").agg(F.avg("x").alias("x"))
+    listed = each.groupBy("label", "dim").agg(F.array_sort(F.collect_list(F.struct("i", "x"))).alias("at"))
+    means = store(listed.select("label", "dim", F.col("at.x").alias("mean")), "vector_means")
+    return unit.join(means, ["label", "dim"]).withColumn("c", F.zip_with("u", "mean", lambda x, m: x - m)).drop("u", "mean")
+
+
+def passes_needed(rows: DataFrame, threshold: float, window: int, least: int) -> DataFrame:
+    """``label``, ``dim``, ``passes`` as measured over all ``rows``; null beyond ``MOST_PASSES``.
+
+    Labels of which nothing could be measured, being smaller than a window, have no row.
+    """
 
     def project(batches):
         for batch in batches:
             dims = np.asarray(batch.column(2))
             for dim in np.unique(dims).tolist():
                 part = batch.filter(pa.array(dims == dim))
-                bits = (_unit(_matrix(part.column(3))) @ directions(dim, passes) > 0).reshape(len(part), passes, BITS)
-                codes = (bits * (np.int64(1) << np.arange(BITS - 1, -1, -1))).sum(axis=2)
+                c = _matrix(part.column(3))
+                rest = np.maximum((c * c).sum(axis=1), 1e-300)
+                angle = np.arccos(np.clip(1 - (1 - threshold) / rest, -1, 1))
+                same = np.maximum(1 - angle / math.pi, 1e-3)
+                codes = codes_of(c, TRIAL_PASSES)
+                for at in range(TRIAL_PASSES):
+                    columns = [part.column(1), part.column(2), pa.array(np.full(len(part), at, np.int32)),
+                               pa.array(codes[:, at]), part.column(0), pa.array(-np.log2(same))]
+                    yield pa.RecordBatch.from_arrays(columns, names=["label", "dim", "pass", "code", "node", "bit"])
+
+    def measure(batches):
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            both = pa.concat_tables([t for t in (held, pa.Table.from_batches([batch])) if t is not None])
+            both = both.combine_chunks().to_batches()[0]
+            held = pa.Table.from_batches([both.slice(max(0, both.num_rows - window))])
+            run, code, bit = (np.asarray(both.column(i)) for i in (2, 3, 4))
+            at = np.flatnonzero(run[window:] == run[:-window])
+            if not len(at):
+                continue
+            apart = (code[at] ^ code[at + window]).astype(np.float64)
+            shared = BITS - np.frexp(apart)[1] + 1
+            steps = np.ceil(4 * np.minimum(shared, BITS) * bit[at]).astype(np.int32)
+            names, dims = both.column(0).take(pa.array(at)), both.column(1).take(pa.array(at))
+            counted = pa.table([names, dims, pa.array(steps)], names=["label", "dim", "step"])
+            counted = counted.group_by(["label", "dim", "step"]).aggregate([([], "count_all")])
+            yield from counted.select(["label", "dim", "step", "count_all"]).rename_columns(_STEPS).to_batches()
+
+    source = rows.select("node", F.col("label").cast("string").alias("label"), "dim", "c")
+    coded = source.mapInArrow(project, "label string, dim int, pass int, code bigint, node bigint, bit double")
+    order = ["pass", "label", "dim", "code", "node"]
+    pieces = coded.repartitionByRange(shuffle_width(rows.sparkSession), *order).sortWithinPartitions(*order)
+    pieces = pieces.select("label", "dim", F.xxhash64("pass", "label", "dim").alias("run"), "code", "bit")
+    steps = pieces.mapInArrow(measure, "label string, dim int, step int, n bigint")
+    steps = steps.groupBy("label", "dim", "step").agg(F.sum("n").alias("n"))
+    missed = lambda passes: F.sum(F.col("n") * F.pow(1 - F.pow(F.lit(2.0), -F.col("step") / 4), F.lit(passes))) / F.sum("n")
+    tried, passes = [], least
+    while passes <= MOST_PASSES:
+        tried.append(passes)
+        passes = math.ceil(passes * 1.2)
+    enough = F.coalesce(*[F.when(missed(p) <= MISS, F.lit(p)) for p in tried], F.lit(None).cast("int"))
+    return steps.groupBy("label", "dim").agg(enough.alias("passes"))
+
+
+_STEPS = ["label", "dim", "step", "n"]
+
+
+def window_links(rows: DataFrame, threshold: float, window: int) -> DataFrame:
+    """Links ``(a, b)`` that the passes find; links that connect nothing new are left out.
+
+    ``rows``: ``node``, ``label``, ``dim``, ``v``, ``c`` and the number of ``passes``.
+    """
+
+    def project(batches):
+        for batch in batches:
+            kinds = np.stack([np.asarray(batch.column(2)), np.asarray(batch.column(5))], axis=1)
+            for dim, passes in np.unique(kinds, axis=0).tolist():
+                part = batch.filter(pa.array((kinds == (dim, passes)).all(axis=1)))
+                codes = codes_of(_matrix(part.column(4)), passes)
                 ends = pa.array(np.arange(0, len(part) * passes + 1, passes, dtype=np.int32))
                 lists = pa.ListArray.from_arrays(ends, pa.array(codes.reshape(-1)))
-                yield pa.RecordBatch.from_arrays([*part.columns, lists], names=["node", "label", "dim", "v", "codes"])
+                yield pa.RecordBatch.from_arrays([*part.columns[:4], lists], names=["node", "label", "dim", "v", "codes"])
 
-    source = items.select("node", F.col("label").cast("string").alias("label"), F.size("v").alias("dim"), "v")
+    source = rows.select("node", F.col("label").cast("string").alias("label"), "dim", "v", "c", "passes")
     coded = source.mapInArrow(project, "node bigint, label string, dim int, v array<double>, codes array<bigint>")
     passed = coded.select("node", "label", "dim", "v", F.posexplode("codes").alias("pass", "code"))
     order = ["pass", "label", "dim", "code", "node"]
     run = F.xxhash64("pass", "label", "dim").alias("run")
-    pieces = passed.repartitionByRange(shuffle_width(items.sparkSession), *order).sortWithinPartitions(*order)
+    pieces = passed.repartitionByRange(shuffle_width(rows.sparkSession), *order).sortWithinPartitions(*order)
     near = _neighbours(pieces.select(*order[:4], run, "node", "v"), threshold, window)
     found = store(near, "vector_windows")
     # rows at the ends of the pieces of the order meet their neighbours in the next piece
@@ -123,6 +228,47 @@ def window_links(items: DataFrame, threshold: float, passes: int, window: int) -
     return found.where("v IS NULL").select("a", "b").unionByName(across.where("v IS NULL").select("a", "b"))
 
 
+def block_links(rows: DataFrame, threshold: float, block: int) -> DataFrame:
+    """Links ``(a, b)`` of labels that are compared exactly, a forest for each pair of blocks."""
+    sizes = rows.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("members"))
+    known = rows.select("node", "label", "dim", "v").join(sizes, ["label", "dim"])
+    known = known.withColumn("run", F.xxhash64("label", "dim"))
+    pairs = block_pairs(known, "run", "members", "node", block, own_pairs=True).select("run", "bi", "bj", "node", "v")
+    pairs = pairs.repartition("run", "bi", "bj").sortWithinPartitions("run", "bi", "bj", "node")
+
+    def link(batches):
+        for _, pieces in whole_groups(batches, 3):
+            ids = np.concatenate([np.asarray(p.column(3)) for p in pieces])
+            unit = _unit(np.concatenate([_matrix(p.column(4)) for p in pieces]))
+            a, b = [], []
+            for at in range(0, len(ids), 512):
+                i, j = np.nonzero(np.triu(unit[at : at + 512] @ unit[at:].T >= threshold, 1))
+                left, right = _forest(ids[at + i], ids[at + j])
+                a += left
+                b += right
+            a, b = _forest(np.array(a, np.int64), np.array(b, np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return pairs.mapInArrow(link, "a bigint, b bigint")
+
+
+def found_links(items: DataFrame, threshold: float, passes: int | None, window: int, block: int) -> DataFrame:
+    """Links that connect all classes: by passes, or exactly in labels where these are too many."""
+    rows = centred(items)
+    if passes is not None:
+        return window_links(rows.withColumn("passes", F.lit(passes)), threshold, window)
+    rows = store(rows, "vector_items")
+    least = passes_for(largest_label(rows), threshold, window)
+    needed = store(passes_needed(rows, threshold, window, least), "vector_passes")
+    needed = needed.withColumn("measured", F.lit(True))
+    known = rows.withColumn("label", F.col("label").cast("string")).join(needed, ["label", "dim"], "left")
+    known = known.withColumn("passes", F.when(F.col("measured").isNull(), F.lit(least)).otherwise(F.col("passes")))
+    hashed = window_links(known.where("passes IS NOT NULL"), threshold, window)
+    if needed.where("passes IS NULL").isEmpty():
+        return hashed
+    return hashed.unionByName(block_links(known.where("passes IS NULL"), threshold, block))
+
+
 def _neighbours(ordered: DataFrame, threshold: float, window: int) -> DataFrame:
     """Links of each row with the ``window`` next ones, and the rows at both ends."""
     schema = "a bigint, b bigint, pass int, label string, dim int, code bigint, v array<double>"
@@ -230,13 +376,12 @@ def near_vectors(
 ) -> DataFrame:
     """One row per row of ``df``: ``key``, ``n_links``, ``component_id``, ``kept``.
 
-    ``passes``: as many as the largest label needs, if not given.
+    ``passes``: as many as each label needs by measurement, if not given.
     """
     prepare(df.sparkSession)
     rows = store(with_node(df, key, vector, label), "vectors")
     items = items_of(rows)
-    passes = passes or passes_for(largest_label(items), threshold, window)
-    classes = components(window_links(items, threshold, passes, window), "vector_links")
+    classes = components(found_links(items, threshold, passes, window, block), "vector_links")
     counts = link_counts(items, classes, threshold, block)
     linked = classes.join(counts, "node", "left")
     nodes = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("key").alias("low"), F.count(F.lit(1)).alias("copies"))
