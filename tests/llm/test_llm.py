@@ -146,7 +146,7 @@ def test_labels_beyond_all_passes_are_compared_exactly(spark, monkeypatch):
     vectors_ = crowded_vectors(900, 100, 0.85, dim=24)
     frame = pd.DataFrame([(i, v.tolist(), "one") for i, v in enumerate(vectors_)], columns=["vec_id", "embedding", "label"])
     items = vectors.items_of(vectors.with_node(spark.createDataFrame(frame), "vec_id", "embedding", "label"))
-    needed = vectors.passes_needed(vectors.centred(items), 0.93, vectors.WINDOW, vectors.LEAST_PASSES).first()
+    needed = vectors.passes_needed(vectors.with_mean(items), 0.93, vectors.WINDOW, vectors.LEAST_PASSES).first()
     assert needed.passes is None
     got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_vectors(spark.createDataFrame(frame), block=256).collect()}
     unit = vectors_ / np.linalg.norm(vectors_, axis=1, keepdims=True)

@@ -121,20 +121,29 @@ def with_node(df: DataFrame, key: str, vector: str, label: str) -> DataFrame:
     return rows.withColumn("node", F.when(F.coalesce(usable, F.lit(False)), F.xxhash64("label", "v")))
 
 
-def centred(items: DataFrame) -> DataFrame:
-    """``items`` with ``dim`` and ``c``: the unit vector without the mean of its label.
+def with_mean(items: DataFrame) -> DataFrame:
+    """``items`` with ``dim`` and ``mean``, that of the unit vectors of the label.
 
-    Means are one row for each label and length, stored, and joined without a hint.
+    Sums are made in each batch; means are one row for each label and length, stored, and
+    joined without a hint.
     """
-    unit = items.withColumn("dim", F.size("v")).withColumn("top", F.expr("array_max(transform(v, x -> abs(x)))"))
-    unit = unit.withColumn("u", F.expr("transform(v, x -> x / top)"))  # tiny and huge vectors keep their direction
-    unit = unit.withColumn("length", F.expr("sqrt(aggregate(u, 0D, (total, x) -> total + x * x))"))
-    unit = unit.withColumn("u", F.expr("transform(u, x -> x / length)")).drop("top", "length")
-    parts = unit.select("label", "dim", F.posexplode("u").alias("i", "x"))
-    each = parts.groupBy("label", "dim", "i").agg(F.avg("x").alias("x"))
+
+    def add(batches):
+        for batch in batches:
+            labels, dims = np.asarray(batch.column(0).to_pylist(), object), np.asarray(batch.column(1))
+            for label, dim in sorted(set(zip(labels.tolist(), dims.tolist()))):
+                at = (labels == label) & (dims == dim)
+                total = _unit(_matrix(batch.column(2).filter(pa.array(at)))).sum(axis=0)
+                columns = [pa.array([label], pa.string()), pa.array([dim], pa.int32()), pa.array([int(at.sum())], pa.int64()), pa.array([total.tolist()])]
+                yield pa.RecordBatch.from_arrays(columns, names=["label", "dim", "n", "total"])
+
+    rows = items.withColumn("label", F.col("label").cast("string")).withColumn("dim", F.size("v"))
+    sums = rows.select("label", "dim", "v").mapInArrow(add, "label string, dim int, n bigint, total array<double>")
+    parts = sums.select("label", "dim", "n", F.posexplode("total").alias("i", "x"))
+    each = parts.groupBy("label", "dim", "i").agg((F.sum("x") / F.sum("n")).alias("x"))
     listed = each.groupBy("label", "dim").agg(F.array_sort(F.collect_list(F.struct("i", "x"))).alias("at"))
     means = store(listed.select("label", "dim", F.col("at.x").alias("mean")), "vector_means")
-    return unit.join(means, ["label", "dim"]).withColumn("c", F.zip_with("u", "mean", lambda x, m: x - m)).drop("u", "mean")
+    return rows.join(means, ["label", "dim"])
 
 
 def passes_needed(rows: DataFrame, threshold: float, window: int, least: int) -> DataFrame:
@@ -148,7 +157,7 @@ def passes_needed(rows: DataFrame, threshold: float, window: int, least: int) ->
             dims = np.asarray(batch.column(2))
             for dim in np.unique(dims).tolist():
                 part = batch.filter(pa.array(dims == dim))
-                c = _matrix(part.column(3))
+                c = _unit(_matrix(part.column(3))) - _matrix(part.column(4))
                 rest = np.maximum((c * c).sum(axis=1), 1e-300)
                 angle = np.arccos(np.clip(1 - (1 - threshold) / rest, -1, 1))
                 same = np.maximum(1 - angle / math.pi, 1e-3)
@@ -178,7 +187,7 @@ def passes_needed(rows: DataFrame, threshold: float, window: int, least: int) ->
             counted = counted.group_by(["label", "dim", "step"]).aggregate([([], "count_all")])
             yield from counted.select(["label", "dim", "step", "count_all"]).rename_columns(_STEPS).to_batches()
 
-    source = rows.select("node", F.col("label").cast("string").alias("label"), "dim", "c")
+    source = rows.select("node", "label", "dim", "v", "mean")
     coded = source.mapInArrow(project, "label string, dim int, pass int, code bigint, node bigint, bit double")
     order = ["pass", "label", "dim", "code", "node"]
     pieces = coded.repartitionByRange(shuffle_width(rows.sparkSession), *order).sortWithinPartitions(*order)
@@ -200,7 +209,7 @@ _STEPS = ["label", "dim", "step", "n"]
 def window_links(rows: DataFrame, threshold: float, window: int) -> DataFrame:
     """Links ``(a, b)`` that the passes find; links that connect nothing new are left out.
 
-    ``rows``: ``node``, ``label``, ``dim``, ``v``, ``c`` and the number of ``passes``.
+    ``rows``: ``node``, ``label``, ``dim``, ``v``, ``mean`` and the number of ``passes``.
     """
 
     def project(batches):
@@ -208,12 +217,12 @@ def window_links(rows: DataFrame, threshold: float, window: int) -> DataFrame:
             kinds = np.stack([np.asarray(batch.column(2)), np.asarray(batch.column(5))], axis=1)
             for dim, passes in np.unique(kinds, axis=0).tolist():
                 part = batch.filter(pa.array((kinds == (dim, passes)).all(axis=1)))
-                codes = codes_of(_matrix(part.column(4)), passes)
+                codes = codes_of(_unit(_matrix(part.column(3))) - _matrix(part.column(4)), passes)
                 ends = pa.array(np.arange(0, len(part) * passes + 1, passes, dtype=np.int32))
                 lists = pa.ListArray.from_arrays(ends, pa.array(codes.reshape(-1)))
                 yield pa.RecordBatch.from_arrays([*part.columns[:4], lists], names=["node", "label", "dim", "v", "codes"])
 
-    source = rows.select("node", F.col("label").cast("string").alias("label"), "dim", "v", "c", "passes")
+    source = rows.select("node", "label", "dim", "v", "mean", "passes")
     coded = source.mapInArrow(project, "node bigint, label string, dim int, v array<double>, codes array<bigint>")
     passed = coded.select("node", "label", "dim", "v", F.posexplode("codes").alias("pass", "code"))
     order = ["pass", "label", "dim", "code", "node"]
@@ -254,14 +263,14 @@ def block_links(rows: DataFrame, threshold: float, block: int) -> DataFrame:
 
 def found_links(items: DataFrame, threshold: float, passes: int | None, window: int, block: int) -> DataFrame:
     """Links that connect all classes: by passes, or exactly in labels where these are too many."""
-    rows = centred(items)
+    rows = with_mean(items)
     if passes is not None:
         return window_links(rows.withColumn("passes", F.lit(passes)), threshold, window)
     rows = store(rows, "vector_items")
     least = passes_for(largest_label(rows), threshold, window)
     needed = store(passes_needed(rows, threshold, window, least), "vector_passes")
     needed = needed.withColumn("measured", F.lit(True))
-    known = rows.withColumn("label", F.col("label").cast("string")).join(needed, ["label", "dim"], "left")
+    known = rows.join(needed, ["label", "dim"], "left")
     known = known.withColumn("passes", F.when(F.col("measured").isNull(), F.lit(least)).otherwise(F.col("passes")))
     hashed = window_links(known.where("passes IS NOT NULL"), threshold, window)
     if needed.where("passes IS NULL").isEmpty():
