@@ -76,18 +76,22 @@ def complete(
     return df.mapInPandas(run, schema)
 
 
+def initial_prompts(splits: Mapping[str, DataFrame]) -> DataFrame:
+    """``{split: (pos, x, y)}`` -> ``(split, pos, prompt)``."""
+    parts = [
+        frame.select(F.lit(name).alias("split"), "pos", text_or_none_word(F.col("x")).alias("prompt"))
+        for name, frame in splits.items()
+    ]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 def initial_responses(
     splits: Mapping[str, DataFrame],
     loader: Callable[[DecodeProfile], Generator],
     profile: DecodeProfile = PROFILES["initial"],
 ) -> DataFrame:
     """``{split: (pos, x, y)}`` -> ``(split, pos, prompt, completion)`` in one model pass."""
-    parts = [
-        frame.select(F.lit(name).alias("split"), "pos", text_or_none_word(F.col("x")).alias("prompt"))
-        for name, frame in splits.items()
-    ]
-    prompts = reduce(lambda a, b: a.unionByName(b), parts)
-    return complete(prompts, loader, profile)
+    return complete(initial_prompts(splits), loader, profile)
 
 
 # --- batch-inference files -------------------------------------------------------

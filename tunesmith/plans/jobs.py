@@ -16,6 +16,7 @@ from tunesmith import fixed_values as V
 from tunesmith.functions.text import clean_completion
 from tunesmith.operators.align import fill_completions, missing_completions, zip_join
 from tunesmith.operators.batches import Stage, curriculum_plan, epoch_plan, stages
+from tunesmith.operators.completions import CompletionCache, resumable_completions
 from tunesmith.operators.criteria import (
     centroids,
     criteria_dataset,
@@ -24,7 +25,7 @@ from tunesmith.operators.criteria import (
     embed,
     revision_dataset,
 )
-from tunesmith.operators.inference import DecodeProfile, complete, initial_responses
+from tunesmith.operators.inference import PROFILES, DecodeProfile, complete, initial_prompts, initial_responses
 from tunesmith.operators.position import range_split, seeded_prompts, with_position
 from tunesmith.operators.scoring import evaluate
 from tunesmith.operators.tokens import preference_examples, revision_examples, sft_examples
@@ -58,10 +59,19 @@ def make_initial_responses(
     inputs: Mapping[str, str],
     loader: Callable[[DecodeProfile], Callable],
     out: str,
+    work: str | None = None,
 ) -> None:
-    """``{split: path of x/y/c records}`` -> completions, one folder per split."""
+    """``{split: path of x/y/c records}`` -> completions, one folder per split.
+
+    With a folder ``work`` finished calls are kept there, and a job that is started again
+    with the same folder goes on where it ended.
+    """
     splits = {name: read_records(spark, path) for name, path in inputs.items()}
-    write_records(initial_responses(splits, loader), out, split="split")
+    if work is None:
+        made = initial_responses(splits, loader)
+    else:
+        made = resumable_completions(initial_prompts(splits), loader, PROFILES["initial"], work, ["split", "pos"])
+    write_records(made, out, split="split")
 
 
 @dataclass(frozen=True)
@@ -180,17 +190,22 @@ def compare_models(
     prefer_a_on_tie: bool = False,
     n: int = V.EVAL_SAMPLES,
     seed: int = V.EVAL_SEED,
-    cache: DataFrame | None = None,
+    cache: DataFrame | CompletionCache | None = None,
 ) -> DataFrame:
     """Sample prompts, complete them with two models, score, and compare.
 
     ``prompts`` is ``(prompt_id, prompt)``; the first entry of ``models`` is side A.
-    Completions found in ``cache`` are used instead of calling the model.
+    Completions found in ``cache`` are used instead of calling the model.  A
+    ``CompletionCache`` also keeps the ones that are made here; a table is only read.
     """
     sample = store(seeded_prompts(prompts, "prompt_id", n, seed), "evaluation-prompts")
     sides = []
     for name, loader in models.items():
         profile = profiles[name]
+        if isinstance(cache, CompletionCache):
+            kept = cache.fill(sample, loader, name, profile)
+            sides.append(kept.select("prompt_id", clean_completion(F.col("completion")).alias("completion")))
+            continue
         wanted = sample.withColumn("model_id", F.lit(name)).withColumn(
             "decode_hash", F.lit(profile.key)
         )
