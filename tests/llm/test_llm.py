@@ -75,6 +75,15 @@ def test_pages_against_marked_article(spark):
         assert r.text == " ".join(b for b in blocks if b)
 
 
+@pytest.mark.parametrize("markup", ['<img alt="a < b" src=x>', "<img alt='1 <2, 3< 4' src=x>", "<svg/>", '<svg class="i" />',
+                                    "<math/>", "<svg><path d='M0'/><text>no</text></svg>", '<a title="x > y" href="#"></a>'])
+def test_markup_inside_of_the_article(spark, markup):
+    page = "<html><body><nav>menu</nav><article><p>first words here " + markup + " and last words</p></article><footer>end</footer></body></html>"
+    other = "<html><body><nav>menu</nav><article><p>one two three four five</p></article><footer>end</footer></body></html>"
+    df = spark.createDataFrame([(1, "u", page), (2, "v", other)], "page_id long, url string, html string")
+    assert by_key(pages.page_report(df), "page_id")[1].text == "first words here and last words"
+
+
 # --- vectors ------------------------------------------------------------------------
 
 

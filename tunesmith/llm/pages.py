@@ -16,7 +16,8 @@ Defined results: null and empty pages have the empty text; a page without any wo
 content, too; unclosed and stray tags and comments up to the end of the page are
 tolerated; what is never content inside a marked element neither counts nor ends the
 stretch; character references without semicolon are decoded as browsers do, cut ones
-stay as they are; repeated pages get the same text; white space is any Unicode white
+stay as they are; equal sums keep the first stretch; repeated pages get the same text; an
+empty table gives no rows; columns of the input named like added ones are replaced; white space is any Unicode white
 space; pages are read whole.
 """
 
@@ -38,11 +39,13 @@ WORD_PRIOR = 1.0
 
 TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^<>]*>|<(/?)([a-zA-Z][^\s/<>]*)"""
-    r"""([^<>"']*(?:"[^"<]*"[^<>"']*|'[^'<]*'[^<>"']*)*)>|([^<]+|<)""",
+    # a quoted value may hold a "<" that begins no tag
+    r"""([^<>"']*(?:"[^"<]*(?:<(?![a-zA-Z/!?])[^"<]*)*"[^<>"']*|'[^'<]*(?:<(?![a-zA-Z/!?])[^'<]*)*'[^<>"']*)*)>|([^<]+|<)""",
     re.S,
 )
 ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 RAW = {"script", "style", "textarea", "noscript", "template", "iframe", "svg", "math", "object", "canvas", "xmp"}
+FOREIGN = {"svg", "math"}
 NEVER = RAW | {"head", "title", "nav", "footer", "aside", "form", "button", "select", "dialog", "menu", "label", "input"}
 INLINE = set("a abbr acronym b bdi bdo big cite code data dfn del em font i img ins kbd mark nobr q s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -107,6 +110,8 @@ def tokens(page: str):
                     noisy -= noise
                     content -= n in CONTENT
                 del stack[depth:]
+        elif name in FOREIGN and attributes.endswith("/"):  # ends itself
+            continue
         elif name in RAW:
             close = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
             at = close.end() if close else end
