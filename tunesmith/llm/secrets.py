@@ -1,8 +1,9 @@
 """Secret scan with a recursive decoding worklist.
 
 Three kinds of secrets are looked for in a text and in every layer that can be decoded
-from it: URL escapes, Unicode and hexadecimal escapes, base64, hex text, and gzip or zlib
-streams.  Layers are texts or bytes; both go on a worklist and are scanned and decoded in
+from it: URL escapes (``%uXXXX`` too), Unicode and hexadecimal escapes of four, eight or any
+digits, numbered and named character references, base64, hex text, text in UTF-16, and gzip
+or zlib streams.  Layers are texts or bytes; both go on a worklist and are scanned and decoded in
 turn until nothing new appears; a layer that was seen before (same content from the same
 stretch) is not read again, so layers that decode to each other end, and a secret that is
 encoded alike in several places is found in each of them.  Every character of a layer knows
@@ -24,7 +25,9 @@ from __future__ import annotations
 import binascii
 import re
 import zlib
+from html.entities import html5
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,13 +43,19 @@ HEX = re.compile(r"[0-9a-f]{32,}")  # a maximal run: shorter runs would be dropp
 KEYWORDS = ("passw", "secret", "token", "apikey", "api_key")
 
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|&#x[0-9A-Fa-f]{1,6};|&#[0-9]{1,7};)+")
-ESCAPE_PART = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
+#: Named references of one ASCII character; findings hold no others.
+NAMES = {n[:-1]: ord(c) for n, c in html5.items() if n.endswith(";") and len(c) == 1 and c.isascii()}
+ESCAPE_PART = re.compile(
+    r"(?:\\u|%u)(?P<four>[0-9A-Fa-f]{4})|\\x(?P<two>[0-9A-Fa-f]{2})|\\U(?P<eight>[0-9A-Fa-f]{8})"
+    r"|\\[ux]\{(?P<any>[0-9A-Fa-f]{1,6})\}|&#[xX](?P<ref>[0-9A-Fa-f]{1,6});|&#(?P<num>[0-9]{1,7});"
+    rf"|&(?P<name>{'|'.join(sorted(NAMES))});"
+)
+ESCAPE = re.compile(f"(?:{re.sub('[?]P<[a-z]+>', '?:', ESCAPE_PART.pattern)})+")
 #: Escapes of one sign, which stand between the others in the source form of byte strings.
 SIGN = re.compile(r"\\(?:[abefnrtv\\'\"/]|[0-7]{1,3})")
 SIGNS = dict(zip("abefnrtv", b"\a\b\x1b\f\n\r\t\v"))
-BYTE_PART = re.compile(ESCAPE_PART.pattern + "|" + r"\\([abefnrtv\\'\"/])|\\([0-7]{1,3})")
-BYTES = re.compile(f"(?:{BYTE_PART.pattern})+")
+BYTE_PART = re.compile(ESCAPE_PART.pattern + "|" + r"\\(?P<sign>[abefnrtv\\'\"/])|\\(?P<octal>[0-7]{1,3})")
+BYTES = re.compile(f"(?:{re.sub('[?]P<[a-z]+>', '?:', BYTE_PART.pattern)})+")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}")
 NEXT_LINE = re.compile(r"[ \t]*(?:\r?\n|(?:\\r)?\\n)[ \t>]*([A-Za-z0-9+/_-]++)")
 WHOLE_LINE = re.compile(NEXT_LINE.pattern + r"(?![ \t]*[A-Za-z0-9]|[,.;:!?])")
@@ -55,6 +64,9 @@ URL_SAFE = str.maketrans("-_", "+/")
 HEX_TEXT = re.compile(r"[0-9A-Fa-f]{32,}")
 #: No finding, and nothing that decodes to one, is shorter than 14 such bytes in a row.
 WORTH = re.compile(rb"[\t\n\f\r\x1b\x20-\x7e]{14,}")
+#: The same in UTF-16, low or high byte first.
+WIDE = re.compile(rb"(?:[\t\n\f\r\x1b\x20-\x7e]\x00){14,}|(?:\x00[\t\n\f\r\x1b\x20-\x7e]){14,}")
+WIDE_TEXT = re.compile(WIDE.pattern.decode())
 UNREAD = re.compile("[^\t\n\f\r\x1b\x20-\x7e]")
 #: What a stream begins with: gzip's magic bytes, or a zlib head without dictionary.
 STREAM = re.compile(b"\x1f\x8b\x08|" + b"|".join(
@@ -129,15 +141,30 @@ def _cut(places, n: int):
     return _Same(places.at, n) if isinstance(places, _Same) else places
 
 
+class _Late:
+    """Places of the bytes of a text, found when a byte is asked for."""
+
+    def __init__(self, places, text, points):
+        self.places, self.text, self.points, self.upto = places, text, points, None
+
+    def __getitem__(self, i):
+        if self.upto is None:
+            code = np.frombuffer(self.text.encode("utf-32-le", "surrogatepass"), "<u4")
+            size = 1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000)
+            size[(code >= 0xDC80) & (code < 0xDD00) | (code < 0x100) & self.points] = 1
+            self.upto = np.cumsum(size)
+        return self.places[int(np.searchsorted(self.upto, i, "right"))]
+
+
 def _bytes(layer: Layer, points: bool = False) -> Layer:
     """A layer of text as bytes.  ``points``: characters up to 255 are bytes themselves."""
-    parts, starts, ends = [], [], []
-    for c, start, end in zip(layer.text, layer.starts, layer.ends):
-        raw = bytes((ord(c),)) if points and c <= "\xff" else c.encode("utf-8", "surrogateescape")
-        parts.append(raw)
-        starts += [start] * len(raw)
-        ends += [end] * len(raw)
-    return Layer(b"".join(parts), starts, ends, layer.way)
+    text = layer.text
+    if points:
+        parts = re.split("([^\x00-\xff]+)", text)
+        raw = b"".join(p.encode("utf-8", "surrogateescape") if i % 2 else p.encode("latin-1") for i, p in enumerate(parts))
+    else:
+        raw = text.encode("utf-8", "surrogateescape")
+    return Layer(raw, _Late(layer.starts, text, points), _Late(layer.ends, text, points), layer.way)
 
 
 def _unescape(layer: Layer, pattern: re.Pattern, decode, way: str) -> Layer | None:
@@ -169,8 +196,18 @@ def _percent(run: str):
 def _escapes(run: str):
     units = []
     for m in BYTE_PART.finditer(run):
-        code = int(m[1] or m[2] or m[3], 16) if m[1] or m[2] or m[3] else int(m[4]) if m[4] else int(m[6], 8) & 255 if m[6] else SIGNS.get(m[5], ord(m[5]))
-        units.append((code, m.start(), m.end(), bool(m[2] or m[5] or m[6])))
+        kind, value = m.lastgroup, m[m.lastgroup]
+        if kind == "num":
+            code = int(value)
+        elif kind == "name":
+            code = NAMES[value]
+        elif kind == "octal":
+            code = int(value, 8) & 255
+        elif kind == "sign":
+            code = SIGNS.get(value, ord(value))
+        else:
+            code = int(value, 16)
+        units.append((code, m.start(), m.end(), kind in ("two", "sign", "octal")))
     if all(u[3] for u in units) and any(u[0] > 127 for u in units):  # bytes, of UTF-8 or not
         text, offsets = _text(bytes(u[0] for u in units))
         return text, [(units[a][1], units[b - 1][2]) for a, b in zip(offsets[:-1], offsets[1:])]
@@ -232,6 +269,22 @@ def _streams(layer: Layer):
     yield from whole()
 
 
+def _wide(layer: Layer):
+    """A layer of text for every stretch of UTF-16 inside a layer."""
+    pattern, empty = (WIDE, b"\0") if isinstance(layer.text, bytes) else (WIDE_TEXT, "\0")
+    if empty not in layer.text:
+        return
+    for m in pattern.finditer(layer.text):
+        a, b = m.span()
+        chars = m.group()[m.group()[:1] == empty :: 2]
+        yield Layer(
+            chars.decode("ascii") if isinstance(chars, bytes) else chars,
+            layer.starts[a:b:2] if layer.starts else range(a, b, 2),
+            layer.ends[a + 1 : b : 2] if layer.ends else range(a + 2, b + 1, 2),
+            layer.way + "w",
+        )
+
+
 def _stretches(layer: Layer):
     """``(characters, their places in the layer)`` of every run of base64 characters, and of
     runs on lines that follow each other, joined: lines of one length, and a shorter last."""
@@ -263,7 +316,7 @@ def _stretches(layer: Layer):
 
 def _decoded(layer: Layer, places, first: list[int], last: list[int], raw: bytes, way: str):
     """Bytes of which number i came from the characters ``first[i]`` to ``last[i]``."""
-    if not WORTH.search(raw) and not STREAM.search(raw):
+    if not WORTH.search(raw) and not STREAM.search(raw) and not (b"\0" in raw and WIDE.search(raw)):
         return
     starts = [places[i] for i in first]
     ends = [places[i] for i in last]
@@ -295,7 +348,7 @@ def _unescaped(layer: Layer):
         done.append(_unescape(layer, PERCENT, _percent, "u"))
         if done[0] and "+" in layer.text and UNREAD.search(done[0].text):  # bytes of a form: plus is a space
             done.append(_unescape(Layer(layer.text.replace("+", " "), layer.starts, layer.ends, layer.way), PERCENT, _percent, "u"))
-    if "\\u" in layer.text or "\\x" in layer.text or "&#" in layer.text:
+    if any(sign in layer.text for sign in ("\\u", "\\x", "\\U", "%u", "&")):
         done.append(_unescape(layer, ESCAPE, _escapes, "x"))
         if done[-1] and SIGN.search(layer.text):
             done.append(_unescape(layer, BYTES, _escapes, "x"))
@@ -313,7 +366,9 @@ def decoded(layer: Layer):
         if WORTH.search(layer.text):
             yield _readable(layer)
         yield from _streams(layer)
+        yield from _wide(layer)
         return
+    yield from _wide(layer)
     yield from _unescaped(layer)
     yield from _unpacked(layer)
 
@@ -342,7 +397,8 @@ def scan(text: str | None) -> tuple[list, list]:
 
 def scanned(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``base`` and ``secrets`` (``layer``: the decodings, outermost first:
-    u URL, x Unicode or hex escapes, b base64, h hex text, z compressed)."""
+    u URL, x Unicode or hex escapes and references, b base64, h hex text, w UTF-16,
+    z compressed)."""
     prepare(docs.sparkSession)
 
     def make():
