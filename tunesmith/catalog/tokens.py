@@ -31,6 +31,7 @@ from tunesmith.operators.batches import (
 )
 from tunesmith.operators.chat import exchange, first_exchange, render_chat
 from tunesmith.operators.criteria import revision_dataset
+from tunesmith.operators.permute import MIX, PRIME, ROUNDS, batch_positions, curriculum_places, epoch_places
 from tunesmith.operators.position import with_position
 from tunesmith.operators.tokens import (
     build_vocab,
@@ -394,3 +395,76 @@ def tk13_difficulty_fixed_cuts(spark, sf):
     return difficulty_buckets(
         table(spark, sf, "documents"), F.size(split_words(F.col("text"))), cuts=_CUTS
     ).select("doc_id", "difficulty")
+
+
+def _walk_sql(items: str, done: str) -> str:
+    """Recursive CTEs that carry ``items(run, epoch, n, pos)`` round by round to ``done(run,
+    epoch, n, pos, place)``; ``run`` is the seed's text.  The grid is searched in SQL."""
+    hashed = f"((({{half}} + k) % {PRIME}) * {MIX} % {PRIME})"
+    mixed = lambda half: f"((xor({hashed.format(half=half)}, {hashed.format(half=half)} >> 15) % {PRIME}) * (k + 1) % {PRIME})"
+    return f"""
+    sizes AS (SELECT DISTINCT n, greatest(floor(sqrt(n))::BIGINT, CASE WHEN n > 2 THEN 2 ELSE 1 END) AS f FROM {items}),
+    tried AS (SELECT n, unnest(range(f, 4 * f + 1)) AS a FROM sizes),
+    cells AS (SELECT n, arg_min(a, ((a - n % a) % a) * 100000 + a) AS a FROM tried GROUP BY n),
+    started AS (SELECT i.*, a, (n + a - 1) // a AS b FROM {items} i JOIN cells USING (n)),
+    walk AS (
+      SELECT run, epoch, n, pos, a, b, pos // b AS l, pos % b AS r, 0 AS t FROM started
+      UNION ALL
+      SELECT run, epoch, n, pos, a, b,
+        CASE WHEN t % 2 = 0 THEN (l + {mixed('r')} % a) % a ELSE l END,
+        CASE WHEN t % 2 = 1 THEN (r + {mixed('l')} % b) % b ELSE r END, t + 1
+      FROM (SELECT *, ('0x' || substr(md5(run || '|' || epoch || '|' || (t % {ROUNDS})), 1, 7))::BIGINT AS k FROM walk)
+      WHERE t = 0 OR t % {ROUNDS} <> 0 OR l * b + r >= n),
+    {done} AS (SELECT run, epoch, n, pos, l * b + r AS place FROM walk WHERE t > 0 AND t % {ROUNDS} = 0 AND l * b + r < n)"""
+
+
+def _numbered(spark, sf):
+    """Documents with stored positions, and their number."""
+    rows = store(with_position(table(spark, sf, "documents").select("doc_id"), "doc_id"), "corpus")
+    return rows, rows.count()
+
+
+_PLACED = f"""WITH RECURSIVE numbered AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS pos, count(*) OVER () AS n FROM documents),
+    items AS (SELECT '7' AS run, epoch, n, pos FROM numbered, (SELECT unnest(range(3))::INT AS epoch)),
+    {_walk_sql('items', 'placed')}"""
+
+
+@register(f"""{_PLACED} SELECT epoch, place::BIGINT AS place, (place // 32)::BIGINT AS batch_id, ((p.n + 31) // 32)::BIGINT AS n_batches, pos, doc_id
+    FROM placed p JOIN numbered USING (pos)""")
+def tk11_epoch_places(spark, sf):
+    """The order of three epochs, computed row by row."""
+    rows, n = _numbered(spark, sf)
+    return epoch_places(rows.select("pos", "doc_id"), n, 3, 32, seed=7)
+
+
+@register(f"""{_PLACED} SELECT (place // 32)::BIGINT AS batch_id, place::BIGINT AS place, pos FROM placed WHERE epoch = 2""")
+def tk11_batch_positions(spark, sf):
+    """All batches of the last epoch, from their places back to the positions."""
+    _, n = _numbered(spark, sf)
+    return batch_positions(spark, n, 2, 32, seed=7)
+
+
+@register(
+    f"""WITH RECURSIVE b AS (SELECT doc_id, CASE WHEN n_chars < 300 THEN 0 WHEN n_chars < 1000 THEN 1 ELSE 2 END AS stage_ord FROM documents),
+    st AS (SELECT * FROM (VALUES (0, 'short', 3), (1, 'med', 2), (2, 'long', 1)) t(stage_ord, stage, epochs)),
+    numbered AS (SELECT stage_ord, doc_id, row_number() OVER (PARTITION BY stage_ord ORDER BY doc_id) - 1 AS pos,
+        count(*) OVER (PARTITION BY stage_ord) AS n FROM b),
+    items AS (SELECT '7|' || stage_ord AS run, unnest(range(epochs))::INT AS epoch, n, pos FROM numbered JOIN st USING (stage_ord)),
+    {_walk_sql('items', 'placed')},
+    counts AS (SELECT stage_ord, stage, epochs, count(doc_id) AS n, ((count(doc_id) + 31) // 32) AS batches
+        FROM st LEFT JOIN b USING (stage_ord) GROUP BY ALL),
+    fs AS (SELECT *, coalesce(sum(batches * epochs) OVER (ORDER BY stage_ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM counts)
+    SELECT fs.stage_ord, stage, epoch, place::BIGINT AS place, (place // 32)::BIGINT AS batch_id, batches::BIGINT AS n_batches,
+        (start + epoch * batches + place // 32)::BIGINT AS global_batch, x.pos, doc_id
+    FROM placed x JOIN numbered m ON x.run = '7|' || m.stage_ord AND x.pos = m.pos JOIN fs ON fs.stage_ord = m.stage_ord"""
+)
+def tk12_curriculum_places(spark, sf):
+    docs = table(spark, sf, "documents")
+    bounds = {"short": (0, 300, 3), "med": (300, 1000, 2), "long": (1000, None, 1)}
+    data = {}
+    for name, (low, high, epochs) in bounds.items():
+        inside = F.col("n_chars") >= low
+        rows = docs.where(inside & (F.col("n_chars") < high) if high else inside).select("doc_id")
+        placed = store(with_position(rows, "doc_id"), f"stage_{name}").select("pos", "doc_id")
+        data[name] = (placed, placed.count(), epochs)
+    return curriculum_places(data, 32, seed=7)
