@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,6 +50,16 @@ def write_json_arrays(
     )
 
 
-def append_metrics(points: DataFrame, path: str) -> None:
-    """Append ``(run_id, tag, step, value, ts)`` points; one folder per tag."""
-    points.write.mode("append").partitionBy("tag").parquet(path)
+def append_metrics(points: DataFrame, path: str, job: str | None = None) -> None:
+    """Append ``(run_id, tag, step, value, ts)`` points; one folder per tag.
+
+    With ``job``, the points of that job are one folder, which a second try replaces, so a
+    retried job adds nothing; the table then has a column ``job``.  A table is written
+    either with jobs or without.
+    """
+    if job is None:
+        points.write.mode("append").partitionBy("tag").parquet(path)
+        return
+    if not re.fullmatch(r"[A-Za-z][A-Za-z0-9_.-]*", job):
+        raise ValueError(f"job: {job!r}")
+    points.write.mode("overwrite").partitionBy("tag").parquet(f"{path}/job={job}")

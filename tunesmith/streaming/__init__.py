@@ -1,5 +1,5 @@
 """Structured Streaming jobs."""
 
-from tunesmith.streaming.metric_stream import metric_windows, read_metric_stream, run_available
+from tunesmith.streaming.metric_stream import each_point_once, metric_windows, read_metric_stream, run_available
 
-__all__ = ["metric_windows", "read_metric_stream", "run_available"]
+__all__ = ["each_point_once", "metric_windows", "read_metric_stream", "run_available"]
