@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -25,7 +25,7 @@ from tunesmith.fixed_values import (
     START_ID,
     UNKNOWN_ID,
 )
-from tunesmith.functions.tokenizers import OutsideTokenizer
+from tunesmith.functions.tokenizers import OutsideTokenizer, Spans
 from tunesmith.functions.text import split_tokens, split_words, truncate_to_tokens
 from tunesmith.functions.tokenrows import (
     attention,
@@ -42,6 +42,8 @@ SPECIAL_IDS = {PAD: PAD_ID, START: START_ID, END: END_ID}
 SLOTS = 8192
 #: Largest vocabulary that is sent to the tasks as one value (Spark's estimate of it).
 VALUE_BYTES = 64 << 20
+#: Characters that an outside tokenizer gets in one call; a longer text comes by itself.
+CALL_CHARS = 1 << 18
 ROW_SLOTS = 256
 
 
@@ -193,7 +195,9 @@ def encode_with_spans(
     of it lies in a generated segment, so one that straddles a border is, and so are all
     tokens that share the bytes of a generated character.  Empty tokens are not.  Null
     texts of segments are empty; a row without segments has no ids.  A narrow map: rows
-    stay where they lie.
+    stay where they lie.  The tokenizer gets a batch in calls of about ``CALL_CHARS``
+    characters, so that its objects live for one call; what a batch keeps are two arrays
+    of four-byte numbers.
     """
     cols = [F.col(c) for c in df.columns if not (drop_segments and c == segments)]
     opened: list = []
@@ -202,13 +206,14 @@ def encode_with_spans(
     def run(texts: pd.Series, flags: pd.Series) -> pd.DataFrame:
         if not opened:
             opened.append(tokenizer.loader())
-        parts = [[x or "" for x in t] if t is not None else [] for t in texts]
-        encoded = opened[0](["".join(p) for p in parts])
-        ids, generated = [], []
-        for part, flag, (own, spans) in zip(parts, flags, encoded):
-            size = [len(x) if tokenizer.unit == "chars" else len(x.encode()) for x in part]
-            ids.append(own)
-            generated.append(overlaps(spans, size, [bool(g) for g in flag] if flag is not None else []))
+        ids, generated, flag = [], [], iter(flags)
+        for parts in _calls(texts):
+            encoded = opened[0](["".join(p) for p in parts])
+            for part, made, (own, spans) in zip(parts, flag, encoded):
+                size = [len(x) if tokenizer.unit == "chars" else len(x.encode()) for x in part]
+                inside = overlaps(spans, size, [bool(g) for g in made] if made is not None else [])
+                ids.append(np.array(own, np.int32))
+                generated.append(np.array(inside, np.int32))
         return pd.DataFrame({"ids": ids, "generated": generated})
 
     made = run(F.col(f"{segments}.text"), F.col(f"{segments}.generated")).alias("_made")
@@ -216,13 +221,26 @@ def encode_with_spans(
     return done
 
 
-def overlaps(spans: list[tuple[int, int]], sizes: list[int], generated: list[bool]) -> list[int]:
+def _calls(texts: Iterable) -> Iterator[list[list[str]]]:
+    """The segments of consecutive rows, in groups that end when they hold ``CALL_CHARS``."""
+    rows, held = [], 0
+    for text in texts:
+        rows.append([x or "" for x in text] if text is not None else [])
+        held += sum(map(len, rows[-1]))
+        if held >= CALL_CHARS:
+            yield rows
+            rows, held = [], 0
+    if rows:
+        yield rows
+
+
+def overlaps(spans: Spans, sizes: list[int], generated: list[bool]) -> list[int]:
     """1 for each token span that shares something with a generated segment.
 
     Both lists lie in text order: a span is held against the last generated stretch
     that starts before its end.
     """
-    if not spans:
+    if not len(spans):
         return []
     ends = np.cumsum(sizes) if sizes else np.zeros(0, np.int64)
     some = np.array([g and n > 0 for g, n in zip(generated, sizes)], bool)
