@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from hashlib import md5
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +17,10 @@ from tunesmith.functions.vectors import dot, norm
 from tunesmith.operators.align import zip_join
 from tunesmith.operators.chat import exchange
 from tunesmith.operators.position import head_n
+from tunesmith.session import store
+
+#: Words whose place a worker remembers.
+CACHED_WORDS = 1 << 16
 
 Embedder = Callable[[list[str]], list[list[float]]]
 
@@ -61,11 +67,13 @@ def embed_tfidf(
 
     A word counts in the place that the first 32 bits of its md5 give, modulo ``dim``.
     The weights, ``ln((rows + 1) / (rows with the place + 1))``, are one value of at most
-    ``dim`` numbers.  A text without words has the zero vector.
+    ``dim`` numbers.  A text without words has the zero vector.  Words are counted inside
+    their row before anything is shuffled; the counts per place are stored.
     """
-    words = df.select(key, F.explode(split_words(F.lower(F.col(text)))).alias("w"))
-    place = F.conv(F.substring(F.md5(F.col("w").cast("binary")), 1, 8), 16, 10).cast("bigint") % dim
-    counts = words.groupBy(key, place.cast("int").alias("i")).agg(F.count(F.lit(1)).alias("n"))
+    lines = F.array_join(split_words(F.lower(F.col(text))), "\n")
+    own = df.select(key, _place_counts(dim)(lines).alias("own")).select(key, F.explode(F.arrays_zip("own.i", "own.n")).alias("c"))
+    # stored, since both the weights and the rows are made of it
+    counts = store(own.groupBy(key, F.col("c.i").alias("i")).agg(F.sum("c.n").alias("n")), "place-counts")
     found = counts.groupBy("i").agg(F.count(F.lit(1)).alias("docs"))
     total = df.agg(F.count(F.lit(1))).scalar()
     # as many rows as there are places: Spark sees the small side by itself
@@ -77,9 +85,35 @@ def embed_tfidf(
     )
     unit = F.transform("e", lambda e: F.struct(e["i"].alias("i"), F.coalesce(F.try_divide(e["x"], F.col("norm")), F.lit(0.0)).alias("x")))
     places = F.sequence(F.lit(0), F.lit(dim - 1))
-    zeros = lambda some: F.transform(some, lambda i: F.struct(i.alias("i"), F.lit(0.0).alias("x")))
-    every = F.coalesce(F.array_sort(F.concat(unit, zeros(F.array_except(places, "e.i")))), zeros(places))
-    return df.select(key).join(rows, key, "left").select(key, F.transform(every, lambda e: e["x"]).alias(vector))
+    found_at = lambda m, i: F.coalesce(F.try_element_at(m, i), F.lit(0.0))
+    # a one-element array binds the map, so that it is made once per row
+    filled = F.transform(F.array(F.map_from_entries(unit)), lambda m: F.transform(places, lambda i: found_at(m, i)))[0]
+    return df.select(key).join(rows, key, "left").select(key, filled.alias(vector))
+
+
+def _place_counts(dim: int):
+    """Words, one per line, as the places they fall into (rising) and how many do."""
+
+    class Places(dict):
+        def __missing__(self, word: str) -> int:
+            if len(self) >= CACHED_WORDS:
+                self.clear()
+            place = self[word] = int(md5(word.encode()).hexdigest()[:8], 16) % dim
+            return place
+
+    places = Places()
+
+    @F.pandas_udf("struct<i: array<int>, n: array<int>>")
+    def run(lines: pd.Series) -> pd.DataFrame:
+        at, n = [], []
+        for text in lines:
+            words = text.split("\n") if text else []
+            i, times = np.unique(np.fromiter(map(places.__getitem__, words), np.int32, len(words)), return_counts=True)
+            at.append(i)
+            n.append(times.astype(np.int32))
+        return pd.DataFrame({"i": at, "n": n})
+
+    return run
 
 
 def centroids(exemplars: DataFrame, vector: str = "embedding") -> DataFrame:
