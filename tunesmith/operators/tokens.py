@@ -40,11 +40,13 @@ from tunesmith.session import store
 
 SPECIAL_IDS = {PAD: PAD_ID, START: START_ID, END: END_ID}
 SLOTS = 8192
+#: Rows whose tokens share one list of words where the vocabulary is joined.
+BLOCK_ROWS = 64
 #: Largest vocabulary that is sent to the tasks as one value (Spark's estimate of it).
 VALUE_BYTES = 64 << 20
-#: Characters that an outside tokenizer gets in one call; a longer text comes by itself.
+#: Characters that Python works on at once (a call of an outside tokenizer, a block of
+#: rows); a longer text comes by itself.
 CALL_CHARS = 1 << 18
-ROW_SLOTS = 256
 
 
 def build_vocab(df: DataFrame, size: int | None, text: str = "text") -> DataFrame:
@@ -64,8 +66,8 @@ def build_vocab(df: DataFrame, size: int | None, text: str = "text") -> DataFram
     return top.withColumn("id", (rank + (FIRST_WORD_ID - 1)).cast("int"))
 
 
-def _slot(tok: Column, slots: int = SLOTS) -> Column:
-    return F.pmod(F.hash(tok), F.lit(slots))
+def _slot(tok: Column) -> Column:
+    return F.pmod(F.hash(tok), F.lit(SLOTS))
 
 
 def _with_specials(vocab: DataFrame) -> DataFrame:
@@ -97,9 +99,9 @@ def _lookup_table(vocab: DataFrame) -> Column:
     )
 
 
-def _word_id(tok: Column, slots: Column, n: int) -> Column:
+def _word_id(tok: Column, slots: Column) -> Column:
     return F.coalesce(
-        F.try_element_at(F.element_at(slots, _slot(tok, n) + 1), tok), F.lit(UNKNOWN_ID)
+        F.try_element_at(F.element_at(slots, _slot(tok) + 1), tok), F.lit(UNKNOWN_ID)
     )
 
 
@@ -114,8 +116,8 @@ def encode(
 
     No token crosses a segment border.  Unknown words get the unknown id.  A vocabulary
     of bounded size is one subquery value, so a corpus is encoded where it lies: no token
-    rows, no join, no shuffle.  A larger one is joined to the distinct words of each row,
-    and the row is encoded with the ids of its own words.  The result is the same;
+    rows, no join, no shuffle.  A larger one is joined to the distinct words of each block
+    of rows, and the rows are encoded with the ids of these.  The result is the same;
     ``by_join`` overrides the choice by size.  An outside tokenizer encodes the text as
     one, so its tokens may cross borders (see ``encode_with_spans``).
     """
@@ -124,15 +126,14 @@ def encode(
     cols = [c for c in df.columns if not (drop_segments and c == segments)]
     rows = df.select(*df.columns, F.col(f"{segments}.generated").alias("_flags"))
     if by_join or (by_join is None and not _fits_value(vocab)):
-        rows, slots = _with_row_slots(rows, vocab, segments), ROW_SLOTS
-    else:
-        # Every column is used once above the line that adds the vocabulary.  Only then
-        # do the projections merge and the value stays a reference inside the lambda;
-        # otherwise it would be copied into each row.
-        rows, slots = rows.withColumn("_slots", _lookup_table(vocab)), SLOTS
+        return _encode_by_join(rows, vocab, segments, cols)
+    # Every column is used once above the line that adds the vocabulary.  Only then
+    # do the projections merge and the value stays a reference inside the lambda;
+    # otherwise it would be copied into each row.
+    rows = rows.withColumn("_slots", _lookup_table(vocab))
     per_segment = F.transform(
         segments,
-        lambda s: F.transform(_tokens(s), lambda t: _word_id(t, F.col("_slots"), slots)),
+        lambda s: F.transform(_tokens(s), lambda t: _word_id(t, F.col("_slots"))),
     )
     flags = F.zip_with(
         "_nested", "_flags", lambda ids, g: F.array_repeat(g.cast("int"), F.size(ids))
@@ -146,26 +147,63 @@ def _tokens(segment: Column) -> Column:
     return split_tokens(F.coalesce(segment["text"], F.lit("")))
 
 
-def _with_row_slots(df: DataFrame, vocab: DataFrame, segments: str) -> DataFrame:
-    """Each row with the ids of its own words: ``_slots``, as ``ROW_SLOTS`` maps.
+def _encode_by_join(df: DataFrame, vocab: DataFrame, segments: str, cols: list[str]) -> DataFrame:
+    """``encode`` for a vocabulary of any size; ``_flags`` are those of the segments.
 
-    A word in very many rows is split by Spark's skew join; ids come back per row, in
-    groups bounded by the row's own words.
+    Rows are stored in blocks of at most ``BLOCK_ROWS``: a token is the number of its word
+    in its block, the first row of a block holds the block's different words.  Only these
+    are joined to the vocabulary; their ids come back as one array per block.  A word in
+    very many blocks is split by Spark's skew join.  A vocabulary that holds a word of
+    the rows twice fails.
     """
-    rows = store(df.withColumn("_row", F.monotonically_increasing_id()), "segments")
-    own = F.array_distinct(F.flatten(F.transform(segments, _tokens)))
-    words = rows.select("_row", F.explode(own).alias("tok"))
-    found = words.join(_with_specials(vocab), "tok")
-    slot = _slot(F.col("tok"), ROW_SLOTS).alias("slot")
-    maps = found.groupBy("_row", slot).agg(
-        F.map_from_entries(F.collect_list(F.struct("tok", "id"))).alias("words")
+    nested = F.transform(segments, _tokens)
+    split = df.select(
+        *cols, "_flags", F.transform(nested, F.size).alias("_sizes"),
+        F.array_join(F.flatten(nested), "\n").alias("_lines"), F.monotonically_increasing_id().alias("_row"),
     )
-    empty = F.expr("map_from_arrays(CAST(array() AS ARRAY<STRING>), CAST(array() AS ARRAY<INT>))")
-    filled = maps.groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("slot", "words"))).alias("m"))
-    every = F.transform(
-        F.sequence(F.lit(0), F.lit(ROW_SLOTS - 1)), lambda i: F.coalesce(F.try_element_at("m", i), empty)
+    number = F.pandas_udf(_block_words, "struct<block: bigint, own: string, numbers: array<int>>")
+    made = split.select(*cols, "_flags", "_sizes", number("_row", "_lines").alias("_made"))
+    rows = store(
+        made.select(
+            *cols, "_flags", "_sizes", F.col("_made.block").alias("_block"),
+            F.col("_made.own").alias("_own"), F.col("_made.numbers").alias("_numbers"),
+        ),
+        "segments",
     )
-    return rows.join(filled.select("_row", every.alias("_slots")), "_row", "left").drop("_row")
+    words = rows.select("_block", F.posexplode(F.split("_own", "\n")).alias("k", "tok")).join(_with_specials(vocab), "tok", "left")
+    twice = F.raise_error(F.lit("a word occurs twice in the vocabulary")).cast("array<int>")
+    own_ids = F.sort_array(F.collect_list(F.struct("k", F.coalesce("id", F.lit(UNKNOWN_ID)).alias("id"))))["id"]
+    found = words.groupBy("_block").agg(
+        F.when(F.count(F.lit(1)) > F.max("k") + 1, twice).otherwise(own_ids).alias("_ids")
+    )
+    flags = F.zip_with("_sizes", "_flags", lambda n, g: F.array_repeat(g.cast("int"), n))
+    return rows.drop("_own").join(found, "_block", "left").select(
+        *cols,
+        F.transform("_numbers", lambda k: F.get(F.col("_ids"), k)).alias("ids"),
+        F.flatten(flags).alias("generated"),
+    )
+
+
+def _block_words(row: pd.Series, lines: pd.Series) -> pd.DataFrame:
+    """Tokens, one per line, as numbers of the different words of a block of rows.
+
+    A block is named by its first row; it ends after ``BLOCK_ROWS`` rows, or with the
+    row that brings it to ``CALL_CHARS`` characters.
+    """
+    blocks, owns, numbers = [], [], []
+    known, first, held = {}, 0, 0
+    for i, text in enumerate(lines):
+        if i - first == BLOCK_ROWS or held >= CALL_CHARS:
+            owns[first] = "\n".join(known) or None
+            known, first, held = {}, i, 0
+        tokens = text.split("\n") if text else []
+        numbers.append(None if text is None else np.array([known.setdefault(t, len(known)) for t in tokens], np.int32))
+        blocks.append(row.iat[first])
+        owns.append(None)
+        held += len(text or "")
+    if owns:
+        owns[first] = "\n".join(known) or None
+    return pd.DataFrame({"block": blocks, "own": owns, "numbers": numbers})
 
 
 Tokenizer = Callable[[list[str]], list[list[int]]]
