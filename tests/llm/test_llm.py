@@ -290,6 +290,62 @@ def test_jaccard_brute_force(spark, block, monkeypatch):
     assert jaccard.jaccard_classes(docs(spark, rows).limit(0)).count() == 0
 
 
+def texts_with_common_lines():
+    """Texts of which many share a line, and few are near copies of each other."""
+    rng = random.Random(11)
+    lines = [" ".join(f"l{k}w{i}" for i in range(14)) for k in range(13)]
+    rows = []
+    for i in range(240):
+        own = [f"w{rng.randrange(10**6)}" for _ in range(rng.randint(30, 45))]
+        at = rng.randrange(len(own))
+        own[at:at] = lines[0 if i % 2 else 1 + i % 12].split()
+        rows.append((len(rows), " ".join(own)))
+        if i % 24 == 0:
+            rows += [(len(rows) + k, " ".join([*own, "tail", f"t{k}"])) for k in range(3)]
+    return rows
+
+
+def copied_rows(monkeypatch):
+    """Counts of the rows that are compared in blocks, one entry per call."""
+    counts, pairs = [], jaccard.block_pairs
+
+    def counted(*args, **kw):
+        done = pairs(*args, **kw)
+        counts.append(done.count())
+        return done
+
+    monkeypatch.setattr(jaccard, "block_pairs", counted)
+    return counts
+
+
+def test_jaccard_common_lines_join_no_groups(spark, monkeypatch):
+    """Texts that only share a line are not copied to the blocks of one large group."""
+    rows, counts = texts_with_common_lines(), copied_rows(monkeypatch)
+    got = jaccard.jaccard_classes(docs(spark, rows), block=8).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == classes_of(rows)
+    assert sum(r.doc_id != r.component_id for r in got) == 30
+    assert counts == [40]
+
+
+def test_parities_bound_the_difference():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 400, n).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) for n in (0, 1, 5, 60, 300, 2000)]
+    marks = [np.array(x, np.int64).view(np.uint64) for x in zip(*jaccard.parities(sets))]
+    for a, x in zip(sets, marks):
+        for b, y in zip(sets, marks):
+            assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
+    assert len(jaccard.parities([])) == jaccard.PARITIES
+
+
+@pytest.mark.parametrize("few", [1, 3, 256])
+def test_jaccard_lists_of_every_length(spark, few, monkeypatch):
+    """The same classes however long a list may be whose pairs are looked at one by one."""
+    rows = near_copies(40, few)
+    monkeypatch.setattr(jaccard, "FEW", few)
+    got = jaccard.jaccard_classes(docs(spark, rows)).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == classes_of(rows)
+
+
 def test_keep_first_with_repeated_keys(spark):
     w, v = "a b c d e f g h i j k l m n o p", "q r s t u v w x y z aa bb cc dd ee ff"
     tail = " and and some other words"
