@@ -327,6 +327,15 @@ def test_jaccard_common_lines_join_no_groups(spark, monkeypatch):
     assert counts == [40]
 
 
+def test_near_duplicate_stage_copies_near_copies_only(spark, monkeypatch):
+    """The pipeline's stage keeps every text that only shares a line, and one of each class."""
+    rows, counts = texts_with_common_lines(), copied_rows(monkeypatch)
+    monkeypatch.setattr(jaccard.keep_first, "__defaults__", (*jaccard.keep_first.__defaults__[:-1], 8))
+    got = corpus_pipeline.near_duplicate_stage(spark, docs(spark, rows), SF)
+    assert sorted((r.doc_id, r.text) for r in got.collect()) == [(k, t) for k, t in rows if k in {c for *_, c in classes_of(rows)}]
+    assert counts == [40]
+
+
 def test_parities_bound_the_difference():
     rng = np.random.default_rng(3)
     sets = [np.unique(rng.integers(0, 400, n).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) for n in (0, 1, 5, 60, 300, 2000)]
